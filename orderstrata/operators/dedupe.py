@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Copies of one row that a single task writes out; more are spread over tasks.
@@ -12,13 +12,14 @@ COPIES_PER_TASK = 65_536
 def keep_one(df: DataFrame, key: str) -> DataFrame:
     """One row per key: the least by the other columns in their order, NULLs first.
 
-    NULL keys form one group. An aggregate, not a window: each task sends at
-    most one row per key into the shuffle, however many rows share the key.
+    NULL keys form one group. Asking for the first row only lets the optimizer
+    cut every task's rows to one per key before the shuffle (``WindowGroupLimit``),
+    so a key held by very many rows sends no more than one from each task.
     """
-    others = [name for name in df.columns if name != key]
-    least = df.groupBy(key).agg(F.min(F.struct(*others)).alias("_least"))
-    picked = [F.col(key) if name == key else F.col(f"_least.{name}") for name in df.columns]
-    return least.select(picked)
+    others = [F.asc_nulls_first(name) for name in df.columns if name != key]
+    within_key = Window.partitionBy(key).orderBy(*others)
+    numbered = df.withColumn("_place", F.row_number().over(within_key))
+    return numbered.where("_place = 1").drop("_place")
 
 
 def bag_difference(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from orderstrata.contracts import SALES, Contract, Layers
 from orderstrata.operators.clean import clean
@@ -17,6 +18,7 @@ from orderstrata.plans.ingest import (
     Tables,
 )
 from orderstrata.plans.outcomes import Migrated
+from orderstrata.plans.sizing import small_enough
 
 
 def _migrate(
@@ -49,7 +51,8 @@ def migrate_order_details(tables: Tables, layers: Layers = SALES) -> Migrated:
     """Details of products already in the store; the others are left out."""
 
     def of_known_products(details: DataFrame) -> DataFrame:
-        return referenced(details, tables.read(layers.products), "ProductID")
+        known = tables.read(layers.products).select("ProductID")
+        return referenced(details, F.broadcast(known) if small_enough(known) else known, "ProductID")
 
     return _migrate(tables, RAW_ORDER_DETAILS, layers.order_details, of_known_products)
 

@@ -2,27 +2,44 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
 from orderstrata.contracts import SALES, Layers
 from orderstrata.operators.reports import (
+    average_lead_times,
     average_lead_times_of,
     color_revenue_of,
+    highest_revenue_colors,
     top_color_per_year,
 )
 from orderstrata.plans.ingest import Tables
 from orderstrata.plans.outcomes import Section
+from orderstrata.plans.sizing import BROADCAST_BYTES, small_enough
+
+# The questions as they are shown.
+TOP_COLOR_QUESTION = "Which color generated the highest revenue each year?"
+LEAD_TIME_QUESTION = "What is the average lead time for each product category?"
+
+
+def sections(
+    orders: DataFrame, products: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
+) -> list[Section]:
+    """Both questions with lazy answers; each reads only the columns it needs.
+
+    A product table measured as small goes to every executor and the order
+    lines are not shuffled at all. Beyond that size the lines are summed per
+    product first and only the sums are joined.
+    """
+    attributes = products.select("ProductID", "Color", "ProductCategoryName")
+    if small_enough(attributes, broadcast_bytes):
+        combined = orders.join(F.broadcast(attributes), "ProductID")
+        colors, lead_times = highest_revenue_colors(combined), average_lead_times(combined)
+    else:
+        colors = top_color_per_year(color_revenue_of(orders, attributes))
+        lead_times = average_lead_times_of(orders, attributes)
+    return [Section(TOP_COLOR_QUESTION, colors), Section(LEAD_TIME_QUESTION, lead_times)]
 
 
 def report(tables: Tables, layers: Layers = SALES) -> list[Section]:
-    """Both questions with lazy answers; each reads only the columns it needs."""
-    orders = tables.read(layers.published_orders)
-    products = tables.read(layers.published_products)
-    return [
-        Section(
-            "Which color generated the highest revenue each year?",
-            top_color_per_year(color_revenue_of(orders, products)),
-        ),
-        Section(
-            "What is the average lead time for each product category?",
-            average_lead_times_of(orders, products),
-        ),
-    ]
+    return sections(tables.read(layers.published_orders), tables.read(layers.published_products))

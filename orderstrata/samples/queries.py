@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +16,8 @@ from orderstrata.operators import dedupe, enrich, integrity, reports
 from orderstrata.operators.clean import clean
 from orderstrata.plans import ingest
 from orderstrata.plans.layers import LayersRun, run_layers
+from orderstrata.plans.outcomes import Section
+from orderstrata.plans.reporting import sections
 from orderstrata.samples import tables as sample
 from orderstrata.session import shared_folder
 from orderstrata.sources import ParquetTables
@@ -149,47 +151,54 @@ def published_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- reports ------------------------------------------------------------------------
 
 
-def color_revenue_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.color_revenue_of(
-        published_orders(spark, sf_dir), product_master(spark, sf_dir)
-    )
+def _sections(spark: SparkSession, sf_dir: str) -> list[Section]:
+    return sections(published_orders(spark, sf_dir), product_master(spark, sf_dir))
 
 
 def top_color_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.top_color_per_year(color_revenue_by_year(spark, sf_dir))
+    return _sections(spark, sf_dir)[0].result
 
 
 def avg_lead_time_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.average_lead_times_of(
-        published_orders(spark, sf_dir), product_master(spark, sf_dir)
-    )
+    return _sections(spark, sf_dir)[1].result
 
 
-def _combined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return published_orders(spark, sf_dir).join(product_master(spark, sf_dir), "ProductID")
+def color_revenue_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = published_orders(spark, sf_dir).join(product_master(spark, sf_dir), "ProductID")
+    return reports.color_revenue(lines)
 
 
-def top_color_of_combined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.highest_revenue_colors(_combined_lines(spark, sf_dir))
+def color_revenue_summed_by_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The way taken when the product table is too large to broadcast."""
+    return reports.color_revenue_of(
+        published_orders(spark, sf_dir), product_master(spark, sf_dir)
+    )
 
 
-def avg_lead_time_of_combined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.average_lead_times(_combined_lines(spark, sf_dir))
+def avg_lead_time_summed_by_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The way taken when the product table is too large to broadcast."""
+    return reports.average_lead_times_of(
+        published_orders(spark, sf_dir), product_master(spark, sf_dir)
+    )
 
 
 # --- files, tables and the run over all layers ----------------------------------------
 
 
-def _files_and_tables(spark: SparkSession, sf_dir: str) -> tuple[str, ParquetTables]:
-    """The raw sample tables as CSV in a new shared folder, and a place for tables beside it."""
+RAW_FILES = {
+    ingest.PRODUCTS_FILE: sample.raw_products,
+    ingest.ORDER_HEADERS_FILE: sample.raw_order_headers,
+    ingest.ORDER_DETAILS_FILE: sample.raw_order_details,
+}
+
+
+def _files_and_tables(
+    spark: SparkSession, sf_dir: str, files: Iterable[str]
+) -> tuple[str, ParquetTables]:
+    """Raw sample tables as CSV in a new shared folder, and a place for tables beside it."""
     root = f"{shared_folder(spark)}/layers-{uuid.uuid4().hex}"
-    files = {
-        ingest.PRODUCTS_FILE: sample.raw_products,
-        ingest.ORDER_HEADERS_FILE: sample.raw_order_headers,
-        ingest.ORDER_DETAILS_FILE: sample.raw_order_details,
-    }
-    for name, raw in files.items():
-        raw(spark, sf_dir).write.csv(
+    for name in files:
+        RAW_FILES[name](spark, sf_dir).write.csv(
             f"{root}/input/{name}",
             header=True,
             ignoreLeadingWhiteSpace=False,
@@ -199,25 +208,25 @@ def _files_and_tables(spark: SparkSession, sf_dir: str) -> tuple[str, ParquetTab
 
 
 def bronze_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder, tables = _files_and_tables(spark, sf_dir)
+    folder, tables = _files_and_tables(spark, sf_dir, [ingest.PRODUCTS_FILE])
     ingest.load_products(tables, folder)
     return tables.read_raw(ingest.RAW_PRODUCTS)
 
 
 def bronze_order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder, tables = _files_and_tables(spark, sf_dir)
+    folder, tables = _files_and_tables(spark, sf_dir, [ingest.ORDER_HEADERS_FILE])
     ingest.load_order_headers(tables, folder)
     return tables.read_raw(ingest.RAW_ORDER_HEADERS)
 
 
 def bronze_order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder, tables = _files_and_tables(spark, sf_dir)
+    folder, tables = _files_and_tables(spark, sf_dir, [ingest.ORDER_DETAILS_FILE])
     ingest.load_order_details(tables, folder)
     return tables.read_raw(ingest.RAW_ORDER_DETAILS)
 
 
 def _run(spark: SparkSession, sf_dir: str) -> tuple[LayersRun, ParquetTables]:
-    folder, tables = _files_and_tables(spark, sf_dir)
+    folder, tables = _files_and_tables(spark, sf_dir, RAW_FILES)
     return run_layers(tables, folder, LAYERS), tables
 
 
@@ -254,10 +263,10 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         top_color_by_year,
-        color_revenue_by_year,
         avg_lead_time_by_category,
-        top_color_of_combined_lines,
-        avg_lead_time_of_combined_lines,
+        color_revenue_by_year,
+        color_revenue_summed_by_product,
+        avg_lead_time_summed_by_product,
         clean_products,
         clean_order_headers,
         clean_order_details,

@@ -236,8 +236,10 @@ ORACLE_SQL: dict[str, str] = {
     "top_color_by_year": _query(*DIRECT, COLOR_REVENUE, TOP_COLOR),
     "color_revenue_by_year": _query(*DIRECT, COLOR_REVENUE, "\nSELECT * FROM revenue"),
     "avg_lead_time_by_category": _query(*DIRECT, LEAD_TIME),
-    "top_color_of_combined_lines": _query(*DIRECT, COLOR_REVENUE, TOP_COLOR),
-    "avg_lead_time_of_combined_lines": _query(*DIRECT, LEAD_TIME),
+    "color_revenue_summed_by_product": _query(
+        *DIRECT, COLOR_REVENUE, "\nSELECT * FROM revenue"
+    ),
+    "avg_lead_time_summed_by_product": _query(*DIRECT, LEAD_TIME),
     "clean_products": _query(
         PRODUCTS, RAW_PRODUCTS, CLEAN_PRODUCTS, "\nSELECT * FROM clean_products"
     ),
