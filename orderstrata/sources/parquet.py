@@ -33,4 +33,5 @@ class ParquetTables:
 
     def create(self, contract: Contract) -> None:
         """The table without rows, in place of whatever it held."""
-        self.write_raw(contract.name, self.spark.createDataFrame([], contract.schema))
+        empty = self.spark.createDataFrame([], contract.schema)
+        self.write_raw(contract.name, empty.coalesce(1))

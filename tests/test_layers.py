@@ -1,0 +1,211 @@
+"""Sources, stages and the run over all layers, on small files."""
+
+from collections import Counter
+from decimal import Decimal
+
+import pytest
+
+from orderstrata.contracts import SALES
+from orderstrata.plans import ingest, migrate, publish
+from orderstrata.plans.layers import run_layers
+from orderstrata.plans.outcomes import StageFailed
+from orderstrata.session import shared_folder, shuffle_partitions
+from orderstrata.sources import JdbcTables, ParquetTables, Split, read_csv
+
+PRODUCTS = """\
+Extra,ProductID,ProductDesc,ProductNumber,MakeFlag,Color,SafetyStockLevel,ReorderPoint,StandardCost,ListPrice,Size,SizeUnitMeasureCode,Weight,WeightUnitMeasureCode,ProductCategoryName,ProductSubCategoryName
+x, 1 ," Frame, red ",FR-1,true,Red,10,5,1.5,2.25,58, CM ,2.5,LB,,Road Frames
+x,2,Chain,CH-2,0,,10,5,1,2,,,,,,Chains
+x,2,Chain,CH-2,0,,10,5,1,3,,,,,,Chains
+x,3,Bike,BI-3,yes,Blue,10,5,100,200,"",,,,Bikes,
+"""
+HEADERS = """\
+SalesOrderID,OrderDate,ShipDate,OnlineOrderFlag,AccountNumber,CustomerID,SalesPersonID,Freight
+100,2021-01-04,2021-01-08,true,A-1,11,,7.5
+100,2021-01-04,2021-01-08,true,A-1,11,,7.5
+101,2022-06-03,,false, A-2 ,12,900,1.23455
+"""
+DETAILS = """\
+SalesOrderID,SalesOrderDetailID,OrderQty,ProductID,UnitPrice,UnitPriceDiscount
+100,1,2,1,10,1
+100,1,2,1,10,1
+100,2,1,2,5,0
+101,3,4,3,100,0.5
+101,4,1,99,9,0
+101,5,1,,9,0
+999,6,1,1,9,0
+"""
+
+
+def write_files(folder, products=PRODUCTS, headers=HEADERS, details=DETAILS):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / ingest.PRODUCTS_FILE).write_text(products)
+    (folder / ingest.ORDER_HEADERS_FILE).write_text(headers)
+    (folder / ingest.ORDER_DETAILS_FILE).write_text(details)
+    return str(folder)
+
+
+@pytest.fixture
+def tables(spark, tmp_path):
+    return ParquetTables(spark, str(tmp_path / "tables"))
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_csv_is_all_text_with_names_from_the_header(spark, tmp_path):
+    write_files(tmp_path)
+    df = read_csv(spark, str(tmp_path / ingest.PRODUCTS_FILE))
+    assert {t for _, t in df.dtypes} == {"string"}
+    first = df.first()
+    assert (first.ProductID, first.ProductDesc) == (" 1 ", " Frame, red ")
+    assert first.ProductCategoryName is None
+    assert df.where("ProductID = '3'").first().Size is None
+
+
+def check_run(run, tables):
+    assert [(m.table, m.rows) for m in run.migrated] == [
+        ("store_products", 3),
+        ("store_sales_order_header", 2),
+        ("store_sales_order_detail", 4),
+    ]
+    products, headers, details = (m.duplicates for m in run.migrated)
+    assert [(r.ProductID, r.ListPrice) for r in products.collect()] == [(2, Decimal("3.0000"))]
+    assert [r.SalesOrderID for r in headers.collect()] == [100]
+    assert [r.SalesOrderDetailID for r in details.collect()] == [1]
+    assert (run.products.rows, run.orders.rows) == (3, 3)
+    assert [r.ProductID for r in run.products.uncategorised.collect()] == [2]
+    colors, lead_times = (rows(s.result) for s in run.sections)
+    assert colors == [(2021, "Red", Decimal("18.0000")), (2022, "Blue", Decimal("398.0000"))]
+    assert lead_times == [("Bikes", None), ("Components", 4.0), (None, 4.0)]
+    orders = tables.read(SALES.published_orders)
+    assert orders.columns == SALES.published_orders.columns
+    assert {r.SalesOrderDetailID: r.TotalOrderFreight for r in orders.collect()}[3] == Decimal(
+        "1.2346"
+    )
+
+
+def test_run_twice(spark, tmp_path, tables):
+    folder = write_files(tmp_path / "input")
+    first = run_layers(tables, folder)
+    assert first.created == [c.name for c in SALES.all()]
+    check_run(first, tables)
+    check_run(run_layers(tables, folder), tables)
+
+
+def test_run_with_wide_identifiers(spark, tmp_path, tables):
+    details = DETAILS + "100,3000000000,1,1,1,0\n"
+    folder = write_files(tmp_path / "input", details=details)
+    with pytest.raises(StageFailed, match="store_sales_order_detail"):
+        run_layers(tables, folder)
+    assert run_layers(tables, folder, SALES.widened()).orders.rows == 4
+
+
+@pytest.mark.parametrize(
+    ("files", "message"),
+    [
+        ({"headers": HEADERS + "abc,2021-01-04,,,,,,\n"}, "store_sales_order_header: .*abc"),
+        ({"headers": HEADERS + "7,6/1/2021,,,,,,\n"}, "store_sales_order_header: .*6/1/2021"),
+        ({"products": PRODUCTS.replace(" CM ", "MM")}, "SizeUnitMeasureCode does not allow MM"),
+        ({"products": PRODUCTS + "x,,n,,,,,,,,,,,,,\n"}, "store_products.ProductID is empty"),
+        ({"details": DETAILS.replace("OrderQty", "Qty")}, "store_sales_order_detail: .*OrderQty"),
+        ({"details": DETAILS + ",8,1,1,1,0\n"}, "SalesOrderID is empty"),
+    ],
+)
+def test_failed_migration_ends_the_run(spark, tmp_path, tables, files, message):
+    folder = write_files(tmp_path / "input", **files)
+    with pytest.raises(StageFailed, match=message):
+        run_layers(tables, folder)
+    # a table that could not be filled is there without rows, as are the later ones
+    assert tables.read(SALES.published_orders).isEmpty()
+
+
+def test_failed_migration_does_not_stop_the_next(spark, tmp_path, tables):
+    folder = write_files(tmp_path / "input", headers=HEADERS.replace("2022-06-03", "soon"))
+    ingest.create_tables(tables, SALES.all())
+    ingest.load_products(tables, folder)
+    ingest.load_order_headers(tables, folder)
+    ingest.load_order_details(tables, folder)
+    outcomes = migrate.migrate_all(tables)
+    assert [m.success for m in outcomes] == [True, False, True]
+    assert tables.read(SALES.order_headers).isEmpty()
+    orders = publish.publish_orders(tables)
+    assert orders.success and orders.rows == 0
+
+
+def test_failed_publishing_keeps_the_error(spark, tables):
+    for outcome in (publish.publish_products(tables), publish.publish_orders(tables)):
+        assert not outcome.success and isinstance(outcome.error, Exception)
+
+
+def test_created_names_up_to_the_failure(spark, tables, monkeypatch):
+    create = ParquetTables.create
+
+    def fails_on_details(self, contract):
+        if contract == SALES.order_details:
+            raise OSError("disk full")
+        create(self, contract)
+
+    monkeypatch.setattr(ParquetTables, "create", fails_on_details)
+    created = ingest.create_tables(tables, SALES.all())
+    assert created.created == ["store_products", "store_sales_order_header"]
+    assert not created.success
+    with pytest.raises(StageFailed, match="store_products, store_sales_order_header"):
+        run_layers(tables, "nowhere")
+
+
+def test_writes_replace_the_table(spark, tables):
+    one = spark.createDataFrame([("a",)], "t string")
+    tables.write_raw("raw", one)
+    tables.write_raw("raw", one)
+    assert tables.read_raw("raw").count() == 1
+    tables.create(SALES.products)
+    empty = tables.read(SALES.products)
+    assert empty.columns == SALES.products.columns and empty.isEmpty()
+
+
+def test_migrating_is_one_pass_over_the_raw_table(spark, tmp_path, tables):
+    """Duplicates are found against the table written, not by choosing survivors again."""
+    folder = write_files(tmp_path / "input")
+    ingest.load_products(tables, folder)
+    outcome = migrate.migrate_products(tables)
+    plan = outcome.duplicates._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    assert Counter(r.ProductID for r in outcome.duplicates.collect()) == {2: 1}
+
+
+def test_jdbc_options(spark):
+    tables = JdbcTables(
+        spark,
+        "jdbc:postgresql://host/db",
+        properties={"user": "u"},
+        splits={"store_products": Split("ProductID", 0, 1000, 16)},
+        connections=4,
+    )
+    base = {"user": "u", "url": "jdbc:postgresql://host/db"}
+    assert tables.read_options("raw_products") == {**base, "dbtable": "raw_products"}
+    assert tables.read_options("store_products") == {
+        **base,
+        "dbtable": "store_products",
+        "partitionColumn": "ProductID",
+        "lowerBound": "0",
+        "upperBound": "1000",
+        "numPartitions": "16",
+    }
+    assert tables.write_options("raw_products", typed=False) == {
+        **base,
+        "dbtable": "raw_products",
+        "numPartitions": "4",
+    }
+    typed = tables.write_options("store_products", typed=True)
+    assert (typed["truncate"], typed["stringtype"]) == ("true", "unspecified")
+
+
+def test_shared_folder_is_the_one_the_session_names(spark):
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_shuffle_partitions():
+    assert shuffle_partitions(0) == 200
+    assert shuffle_partitions(100 * 10**12) == 745059
