@@ -209,3 +209,24 @@ def test_shared_folder_is_the_one_the_session_names(spark):
 def test_shuffle_partitions():
     assert shuffle_partitions(0) == 200
     assert shuffle_partitions(100 * 10**12) == 745059
+
+
+def test_command_line(spark, tmp_path, monkeypatch, capsys):
+    from orderstrata.__main__ import main
+
+    folder = write_files(tmp_path / "input")
+    monkeypatch.setattr("sys.argv", ["orderstrata", folder, str(tmp_path / "tables")])
+    main()
+    shown = capsys.readouterr().out
+    assert "publish_orders: 3 rows" in shown
+    assert "Subcategories without a product category" in shown and "Chains" in shown
+    assert "highest revenue each year?" in shown and "398.0000" in shown
+
+
+def test_command_line_without_uncategorised_products(spark, tmp_path, monkeypatch, capsys):
+    from orderstrata.__main__ import main
+
+    folder = write_files(tmp_path / "input", products=PRODUCTS.replace("Chains", "Socks"))
+    monkeypatch.setattr("sys.argv", ["orderstrata", folder, str(tmp_path / "tables"), "--wide-ids"])
+    main()
+    assert "Subcategories without" not in capsys.readouterr().out
