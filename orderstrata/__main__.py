@@ -16,10 +16,10 @@ def main() -> None:
     parser.add_argument("folder", help="folder with the three CSV files")
     parser.add_argument("root", help="folder for the tables, shared by all executors")
     parser.add_argument("--wide-ids", action="store_true", help="64-bit identifiers")
-    parser.add_argument("--shuffled-bytes", type=int, help="size of the largest shuffle")
+    parser.add_argument("--largest-bytes", type=int, help="size of the largest table")
     args = parser.parse_args()
 
-    spark = build_session(shuffled_bytes=args.shuffled_bytes)
+    spark = build_session(largest_bytes=args.largest_bytes)
     layers = SALES.widened() if args.wide_ids else SALES
     run = run_layers(ParquetTables(spark, args.root), args.folder, layers)
     for outcome in (*run.migrated, run.products, run.orders):

@@ -7,22 +7,25 @@ from math import ceil
 
 from pyspark.sql import SparkSession
 
-# Bytes a shuffle partition should hold; adaptive execution merges smaller ones.
-SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+# Bytes a task should get from a scan or a shuffle, while that makes few enough tasks.
+PARTITION_BYTES = 128 * 1024 * 1024
+# The driver holds a size for each pair of map and reduce tasks, if only a bit;
+# with more tasks than this on both sides that alone fills its memory.
+MOST_PARTITIONS = 100_000
 
 
-def shuffle_partitions(shuffled_bytes: int, at_least: int = 200) -> int:
-    """Partitions that keep each task's share of a shuffle within executor memory."""
-    return max(at_least, ceil(shuffled_bytes / SHUFFLE_PARTITION_BYTES))
+def partition_bytes(largest_bytes: int) -> int:
+    """Bytes per task: the usual size, or more once tasks would be too many."""
+    return max(PARTITION_BYTES, ceil(largest_bytes / MOST_PARTITIONS))
 
 
 def build_session(
-    app_name: str = "orderstrata", shuffled_bytes: int | None = None
+    app_name: str = "orderstrata", largest_bytes: int | None = None
 ) -> SparkSession:
     """A session with the settings the operators count on; the master comes from outside.
 
-    ``shuffled_bytes`` is the largest shuffle to expect, about the size of the
-    order details.
+    ``largest_bytes`` is the size of the largest table, as a rule the order
+    details; scans and shuffles are cut into parts accordingly.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -31,9 +34,12 @@ def build_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
     )
-    if shuffled_bytes is not None:
-        builder = builder.config(
-            "spark.sql.shuffle.partitions", shuffle_partitions(shuffled_bytes)
+    if largest_bytes is not None:
+        size = partition_bytes(largest_bytes)
+        builder = (
+            builder.config("spark.sql.shuffle.partitions", max(200, ceil(largest_bytes / size)))
+            .config("spark.sql.files.maxPartitionBytes", size)
+            .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
         )
     return builder.getOrCreate()
 

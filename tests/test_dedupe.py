@@ -1,5 +1,6 @@
 """One row per key, and the rows left over."""
 
+import random
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -92,3 +93,27 @@ def test_half_the_rows_under_one_key(spark):
     assert kept.count() == 20_000
     assert kept.where("k = 7").first().a == "0"
     assert dedupe.surplus_rows(rows, "k").count() == 20_000
+
+
+def test_random_rows_against_a_plain_model(spark):
+    pick = random.Random(11)
+    rows = [
+        (
+            pick.choice([None, 1, 2, 3, 4, 5]),
+            pick.choice([None, "", "a", "b", "ä"]),
+            pick.choice([None, -1, 0, 1]),
+        )
+        for _ in range(400)
+    ]
+    rows += [(k, "only", 0) for k in range(100, 200)]
+
+    def place(row):
+        return tuple((value is not None, value) for value in row[1:])
+
+    kept = {}
+    for row in rows:
+        if row[0] not in kept or place(row) < place(kept[row[0]]):
+            kept[row[0]] = row
+    df = spark.createDataFrame(rows, SCHEMA).repartition(7)
+    assert bag(dedupe.keep_one(df, "k")) == Counter(kept.values())
+    assert bag(dedupe.surplus_rows(df, "k")) == Counter(rows) - Counter(kept.values())

@@ -95,3 +95,15 @@ def test_widened_contracts_change_identifiers_only():
                 assert after.dataType.simpleString() == "bigint"
             else:
                 assert before.dataType == after.dataType
+
+
+def test_rows_without_a_key_stay_out_of_the_shuffle(spark, tmp_path):
+    """Many NULL keys must not meet in one task."""
+    details(spark).write.parquet(str(tmp_path / "details"))
+    products(spark).write.parquet(str(tmp_path / "products"))
+    lines = spark.read.parquet(str(tmp_path / "details"))
+    parents = spark.read.parquet(str(tmp_path / "products"))
+    for check in (integrity.referenced, integrity.orphans):
+        plan = check(lines, parents, "ProductID")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("PushedFilters: [IsNotNull(ProductID)]") >= 1
+        assert "isnotnull(ProductID" in plan

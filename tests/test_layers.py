@@ -9,7 +9,7 @@ from orderstrata.contracts import SALES
 from orderstrata.plans import ingest, migrate, publish
 from orderstrata.plans.layers import run_layers
 from orderstrata.plans.outcomes import StageFailed
-from orderstrata.session import shared_folder, shuffle_partitions
+from orderstrata.session import partition_bytes, shared_folder
 from orderstrata.sources import JdbcTables, ParquetTables, Split, read_csv
 
 PRODUCTS = """\
@@ -206,9 +206,11 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-def test_shuffle_partitions():
-    assert shuffle_partitions(0) == 200
-    assert shuffle_partitions(100 * 10**12) == 745059
+def test_parts_grow_once_there_are_too_many():
+    mib = 1024 * 1024
+    assert partition_bytes(0) == 128 * mib
+    assert partition_bytes(10 * mib * mib) == 128 * mib
+    assert partition_bytes(100 * 10**12) == 10**9
 
 
 def test_command_line(spark, tmp_path, monkeypatch, capsys):
