@@ -25,6 +25,7 @@ HEADLINES = (
     "kept_order_headers",
     "kept_order_details",
     "duplicate_order_details",
+    "details_except_kept",
     "details_of_catalogued_products",
     "orphaned_details",
     "repeated_detail_keys",

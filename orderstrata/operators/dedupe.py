@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Copies of one row that a single task writes out; more are spread over tasks.
 COPIES_PER_TASK = 65_536
 
 
+def _in_order(df: DataFrame, key: str) -> list[Column]:
+    return [F.asc_nulls_first(name) for name in df.columns if name != key]
+
+
 def keep_one(df: DataFrame, key: str) -> DataFrame:
     """One row per key: the least by the other columns in their order, NULLs first.
 
@@ -16,12 +20,31 @@ def keep_one(df: DataFrame, key: str) -> DataFrame:
     cut every task's rows to one per key before the shuffle (``WindowGroupLimit``),
     so a key held by very many rows sends no more than one from each task.
     """
-    others = [F.asc_nulls_first(name) for name in df.columns if name != key]
-    within_key = Window.partitionBy(key).orderBy(*others)
+    within_key = Window.partitionBy(key).orderBy(*_in_order(df, key))
     numbered = df.withColumn("_place", F.row_number().over(within_key))
     return numbered.where("_place = 1").drop("_place")
 
 
+def surplus_rows(df: DataFrame, key: str) -> DataFrame:
+    """Every row that :func:`keep_one` leaves out, equal rows once each.
+
+    A key is numbered in two steps: first the rows that one task has read, then
+    the first ones of all tasks against each other. No group of the first step
+    is larger than a task's input, and no group of the second has more first
+    rows than there were tasks, however many rows share the key.
+    """
+    order = _in_order(df, key)
+    of_one_task = Window.partitionBy(key, "_task").orderBy(*order)
+    near = df.withColumn("_task", F.spark_partition_id()).withColumn(
+        "_near", F.row_number().over(of_one_task)
+    )
+    # Rows known to be surplus stay apart from the first ones, by task as before.
+    group = F.when(F.col("_near") == 1, F.lit(-1)).otherwise(F.col("_task"))
+    of_all_tasks = Window.partitionBy(key, "_group").orderBy(*order)
+    far = near.withColumn("_group", group).withColumn("_far", F.row_number().over(of_all_tasks))
+    return far.where("_near > 1 OR _far > 1").select(df.columns)
+
+
 def bag_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of ``left`` less those of ``right``, one for one, as ``EXCEPT ALL`` counts them.
 
@@ -43,8 +66,3 @@ def bag_difference(left: DataFrame, right: DataFrame) -> DataFrame:
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), copies.cast("int"))))
         .select(*names)
     )
-
-
-def surplus_rows(df: DataFrame, key: str) -> DataFrame:
-    """Every row that :func:`keep_one` leaves out."""
-    return bag_difference(df, keep_one(df, key))

@@ -68,6 +68,12 @@ def duplicate_order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.surplus_rows(sample.order_details(spark, sf_dir), "SalesOrderDetailID")
 
 
+def details_except_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The duplicates once more, as the difference of two tables."""
+    details = sample.order_details(spark, sf_dir)
+    return dedupe.bag_difference(details, dedupe.keep_one(details, "SalesOrderDetailID"))
+
+
 # --- rules a contract declares --------------------------------------------------
 
 
@@ -276,6 +282,7 @@ QUERIES: dict[str, Query] = {
         duplicate_products,
         duplicate_order_headers,
         duplicate_order_details,
+        details_except_kept,
         details_of_catalogued_products,
         orphaned_details,
         repeated_detail_keys,

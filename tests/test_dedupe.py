@@ -77,12 +77,24 @@ def test_copies_of_one_row_are_written_by_several_tasks(spark, monkeypatch):
     copies = spark.range(1000).select(
         F.lit(1).alias("k"), F.lit("same").alias("a"), F.lit(2).alias("b")
     )
-    surplus = dedupe.surplus_rows(copies, "k")
-    assert bag(surplus) == Counter({(1, "same", 2): 999})
-    by_task = surplus.groupBy(F.spark_partition_id()).count().collect()
+    difference = dedupe.bag_difference(copies, copies.limit(1))
+    assert bag(difference) == Counter({(1, "same", 2): 999})
+    by_task = difference.groupBy(F.spark_partition_id()).count().collect()
     assert len(by_task) > 1
 
 
+def test_surplus_of_one_key_is_numbered_by_several_tasks(spark):
+    copies = spark.range(0, 8000, 1, 8).select(
+        (F.col("id") * 0 + 1).alias("k"), F.lit("same").alias("a"), F.lit(2).alias("b")
+    )
+    surplus = dedupe.surplus_rows(copies, "k")
+    # neither window gathers rows by the key alone
+    shuffles = [line for line in plan_of(surplus).splitlines() if "Exchange" in line]
+    assert len(shuffles) == 2
+    assert all("_task" in line or "_group" in line for line in shuffles)
+    assert bag(surplus) == Counter({(1, "same", 2): 7999})
+
+
 def test_half_the_rows_under_one_key(spark):
     rows = spark.range(40_000).select(
         F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).cast("int").alias("k"),

@@ -1,6 +1,5 @@
 """Sources, stages and the run over all layers, on small files."""
 
-from collections import Counter
 from decimal import Decimal
 
 import pytest
@@ -165,16 +164,6 @@ def test_writes_replace_the_table(spark, tables):
     assert empty.columns == SALES.products.columns and empty.isEmpty()
 
 
-def test_migrating_is_one_pass_over_the_raw_table(spark, tmp_path, tables):
-    """Duplicates are found against the table written, not by choosing survivors again."""
-    folder = write_files(tmp_path / "input")
-    ingest.load_products(tables, folder)
-    outcome = migrate.migrate_products(tables)
-    plan = outcome.duplicates._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan
-    assert Counter(r.ProductID for r in outcome.duplicates.collect()) == {2: 1}
-
-
 def test_jdbc_options(spark):
     tables = JdbcTables(
         spark,
