@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TOTAL = "decimal(38,4)"
 
 
-def _total(column: str, name: str):
+def _total(column: str, name: str) -> Column:
     return F.sum(column).cast(TOTAL).alias(name)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderstrata.contracts import Contract
 from orderstrata.operators.integrity import conform
+from orderstrata.sources.empty import empty_table
 
 
 @dataclass(frozen=True)
@@ -77,4 +78,4 @@ class JdbcTables:
         conform(df, contract).write.format("jdbc").options(**options).mode("overwrite").save()
 
     def create(self, contract: Contract) -> None:
-        self.write(contract, self.spark.createDataFrame([], contract.schema))
+        self.write(contract, empty_table(self.spark, contract))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderstrata.contracts import Contract
 from orderstrata.operators.integrity import conform
+from orderstrata.sources.empty import empty_table
 
 
 class ParquetTables:
@@ -33,5 +34,4 @@ class ParquetTables:
 
     def create(self, contract: Contract) -> None:
         """The table without rows, in place of whatever it held."""
-        empty = self.spark.createDataFrame([], contract.schema)
-        self.write_raw(contract.name, empty.coalesce(1))
+        self.write_raw(contract.name, empty_table(self.spark, contract))

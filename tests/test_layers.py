@@ -93,6 +93,16 @@ def test_run_twice(spark, tmp_path, tables):
     check_run(run_layers(tables, folder), tables)
 
 
+def test_names_in_files_may_differ_in_case(spark, tmp_path, tables):
+    first, rest = HEADERS.split("\n", 1)
+    folder = write_files(tmp_path / "input", headers=f"{first.lower()}\n{rest}")
+    ingest.load_order_headers(tables, folder)
+    assert tables.read_raw(ingest.RAW_ORDER_HEADERS).columns == first.lower().split(",")
+    assert migrate.migrate_order_headers(tables).rows == 2
+    stored = spark.read.parquet(tables.path(SALES.order_headers.name))
+    assert stored.columns == SALES.order_headers.columns
+
+
 def test_run_with_wide_identifiers(spark, tmp_path, tables):
     details = DETAILS + "100,3000000000,1,1,1,0\n"
     folder = write_files(tmp_path / "input", details=details)
