@@ -53,7 +53,9 @@ def migrate_order_details(tables: Tables, layers: Layers = SALES) -> Migrated:
 
     def of_known_products(details: DataFrame) -> DataFrame:
         known = tables.read(layers.products).select("ProductID")
-        return referenced(details, F.broadcast(known) if small_enough(known) else known, "ProductID")
+        if small_enough(known):
+            known = F.broadcast(known)
+        return referenced(details, known, "ProductID")
 
     return _migrate(tables, RAW_ORDER_DETAILS, layers.order_details, of_known_products)
 

@@ -290,7 +290,8 @@ ORACLE_SQL: dict[str, str] = {
     "details_except_kept": _query(
         DETAILS,
         _numbered(LAYERS.order_details, "numbered", "details"),
-        "\nSELECT * FROM details EXCEPT ALL" + _select(LAYERS.order_details, "numbered", "place = 1"),
+        "\nSELECT * FROM details EXCEPT ALL"
+        + _select(LAYERS.order_details, "numbered", "place = 1"),
     ),
     "details_of_catalogued_products": _query(
         PRODUCTS,

@@ -18,7 +18,8 @@ def details(spark):
 
 
 def products(spark):
-    return spark.createDataFrame([("a", 5), ("b", 5), ("c", 6), ("d", None)], "n string, ProductID int")
+    rows = [("a", 5), ("b", 5), ("c", 6), ("d", None)]
+    return spark.createDataFrame(rows, "n string, ProductID int")
 
 
 def keys(df):
