@@ -10,7 +10,8 @@ COPIES_PER_TASK = 65_536
 
 
 def _in_order(df: DataFrame, key: str) -> list[Column]:
-    return [F.asc_nulls_first(name) for name in df.columns if name != key]
+    others = [name for name in df.columns if name != key]
+    return [F.asc_nulls_first(name) for name in others or [key]]
 
 
 def keep_one(df: DataFrame, key: str) -> DataFrame:

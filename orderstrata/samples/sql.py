@@ -33,8 +33,9 @@ HEADERS = """
 headers AS (
   SELECT o_orderkey AS SalesOrderID,
          CAST(o_orderdate AS DATE) AS OrderDate,
-         CASE WHEN o_orderkey % 17 <> 0
-              THEN CAST(o_orderdate AS DATE) + CAST(o_orderkey % 15 - 2 AS INTEGER) END AS ShipDate,
+         CASE WHEN o_orderstatus <> 'O'
+              THEN CAST(o_orderdate AS DATE) + CAST(day(o_orderdate) - 3 AS INTEGER) END
+           AS ShipDate,
          o_orderpriority IN ('1-URGENT', '2-HIGH') AS OnlineOrderFlag,
          'AC-' || CAST(o_custkey AS VARCHAR) AS AccountNumber,
          o_custkey AS CustomerID,
@@ -74,18 +75,13 @@ def _master(source: str) -> str:
     return f"\nmaster AS (SELECT {MASTER_COLUMNS} FROM {source})"
 
 
-def _weekdays_through(day: str) -> str:
-    """Weekdays since 1970-01-05, a Monday, up to and including the day."""
-    days = f"(({day}) - DATE '1970-01-05')"
-    remainder = f"((({days} % 7) + 7) % 7)"
-    return f"(5 * CAST(floor({days} / 7.0) AS BIGINT) + least({remainder} + 1, 5))"
-
-
 def _business_days(start: str, end: str) -> str:
-    first, last = f"least({start}, {end}) - 1", f"greatest({start}, {end})"
-    span = f"{_weekdays_through(last)} - {_weekdays_through(first)} - 1"
+    """The days of the span listed and the weekdays among them counted, less one."""
+    days = f"generate_series(least({start}, {end}), greatest({start}, {end}), INTERVAL 1 DAY)"
+    weekdays = f"len([day FOR day IN {days} IF isodow(day) < 6])"
     return (
-        f"CASE WHEN {start} IS NOT NULL AND {end} IS NOT NULL THEN CAST({span} AS INTEGER) END"
+        f"CASE WHEN {start} IS NOT NULL AND {end} IS NOT NULL"
+        f" THEN CAST({weekdays} - 1 AS INTEGER) END"
     )
 
 

@@ -47,6 +47,12 @@ def test_key_need_not_come_first(spark):
     assert bag(dedupe.keep_one(df, "k")) == Counter((a, k, b) for k, a, b in KEPT)
 
 
+def test_key_alone(spark):
+    df = spark.createDataFrame(ROWS, SCHEMA).select("k")
+    assert bag(dedupe.keep_one(df, "k")) == Counter([(1,), (2,), (3,), (None,)])
+    assert bag(dedupe.surplus_rows(df, "k")) == Counter({(1,): 3, (2,): 1, (None,): 1})
+
+
 def test_each_task_sends_one_row_per_key(spark):
     df = spark.createDataFrame(ROWS, SCHEMA)
     before_shuffle = plan_of(dedupe.keep_one(df, "k")).split("Exchange")[1]
