@@ -3,6 +3,7 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import DataFrameReader, DataFrameWriter
 
 from orderstrata.contracts import SALES
 from orderstrata.plans import ingest, migrate, publish
@@ -201,6 +202,43 @@ def test_jdbc_options(spark):
     assert (typed["truncate"], typed["stringtype"]) == ("true", "unspecified")
 
 
+def test_jdbc_calls(spark, monkeypatch):
+    """What is asked of Spark's JDBC source, which is not run here."""
+    asked = []
+
+    def record(cls, name, result):
+        def called(self, *args, **kwargs):
+            asked.append((name, args or kwargs))
+            return result(self)
+
+        monkeypatch.setattr(cls, name, called)
+
+    for name in ("format", "options", "mode"):
+        record(DataFrameWriter, name, lambda self: self)
+    record(DataFrameWriter, "save", lambda self: None)
+    for name in ("format", "options"):
+        record(DataFrameReader, name, lambda self: self)
+    record(DataFrameReader, "load", lambda self: "frame")
+
+    tables = JdbcTables(spark, "jdbc:x:y")
+    tables.create(SALES.order_headers)
+    name = SALES.order_headers.name
+    written = {"url": "jdbc:x:y", "dbtable": name, "truncate": "true", "stringtype": "unspecified"}
+    assert asked == [
+        ("format", ("jdbc",)),
+        ("options", written),
+        ("mode", ("overwrite",)),
+        ("save", {}),
+    ]
+    asked.clear()
+    assert tables.read(SALES.order_headers) == "frame"
+    assert asked == [
+        ("format", ("jdbc",)),
+        ("options", {"url": "jdbc:x:y", "dbtable": name}),
+        ("load", {}),
+    ]
+
+
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
