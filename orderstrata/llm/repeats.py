@@ -28,10 +28,9 @@ from orderstrata.llm.common import new_folder, pack, plainly_named, unpack, unus
 
 GRAM = 16
 # Bytes of text in a batch, windows looked at together, bytes of text behind a bucket.
-BATCH_BYTES = 2 << 20
-WINDOWS_AT_ONCE = 4 << 20
-BUCKET_BYTES = 16 << 20
-BATCHES_PER_TASK = 16
+BATCH_BYTES = 1 << 20
+WINDOWS_AT_ONCE = 1 << 20
+BUCKET_BYTES = 8 << 20
 PLACE_BITS = np.uint64(24)
 MULTIPLIERS = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)]
 NO_ID = np.iinfo(np.int64).max
