@@ -120,6 +120,13 @@ def _gram_hashes(data: np.ndarray) -> np.ndarray:
     return value
 
 
+def _mixed(hashes: np.ndarray) -> np.ndarray:
+    """Anchors' hashes are low ones; these are spread evenly again, equal ones equal."""
+    mixed = hashes * MULTIPLIERS[0]
+    mixed ^= mixed >> np.uint64(32)
+    return mixed * MULTIPLIERS[1]
+
+
 def _least_of(values: np.ndarray, width: int) -> np.ndarray:
     span = 1
     while span * 2 <= width:
@@ -148,7 +155,7 @@ def _anchors(data: np.ndarray, ends: np.ndarray, window: int) -> Iterator[tuple[
         starts = np.flatnonzero(np.concatenate(([True], places[1:] != places[:-1])))
         lasts = np.concatenate((starts[1:], [len(windows)])) - 1
         anchors = places[starts]
-        yield hashes[anchors], anchors + at, windows[starts] + at, windows[lasts] + at
+        yield _mixed(hashes[anchors]), anchors + at, windows[starts] + at, windows[lasts] + at
 
 
 def _all_anchors(data: np.ndarray, ends: np.ndarray, window: int) -> list[np.ndarray]:
