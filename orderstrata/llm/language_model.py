@@ -16,7 +16,7 @@ from orderstrata.llm.common import stored
 
 # Words that the model predicts one by one; the others are one class, shared out by count.
 CLASSES = 1024
-# Most frequent words of which every task holds the counts; the others' come by a join.
+# Most frequent words, at most, of which every task holds the counts; the others' come by a join.
 LISTED_WORDS = 1 << 18
 # Distinct words that a task counts before it sends them on.
 COUNTED_AT_ONCE = 1 << 19
@@ -160,7 +160,7 @@ class Vocabulary:
     def classes(self) -> np.ndarray:
         """The class of each listed word: the most frequent have one of their own."""
         classes = np.full(len(self.words), REST, np.int64)
-        own = min(CLASSES - 2, len(self.words))
+        own = min(CLASSES - 2, sum(w != END for w in self.words))
         classes[:own] = np.arange(2, own + 2)
         if END in self.words:
             classes[self.words.index(END)] = EDGE
@@ -177,16 +177,32 @@ class Vocabulary:
         return self.tokens - self.counts[own].sum() + self.distinct - own.sum() + 1
 
 
+def _least_listed(counts: DataFrame) -> float:
+    """The least count with at most ``LISTED_WORDS`` words of as many or more.
+
+    From the numbers of words by count, counts over 64 in steps of a 64th of a power of
+    two: a few thousand rows at most, whatever the corpus.
+    """
+    power = F.pow(F.lit(2.0), F.greatest(F.floor(F.log2(F.col("c") + 0.5)) - 6, F.lit(0)))
+    steps = counts.withColumn("step", F.floor(F.col("c") / power) * power)
+    least, words = float("inf"), 0
+    for row in sorted(steps.groupBy("step").count().collect(), key=lambda r: -r.step):
+        words += row["count"]
+        if words > LISTED_WORDS:
+            break
+        least = row.step
+    return least
+
+
 def vocabulary(texts: DataFrame) -> tuple[DataFrame, Vocabulary]:
     """Counts of every word over all texts, as a stored table; the listed ones at hand."""
     partial = texts.mapInArrow(_counted, "word binary, n long")
     counts = stored(partial.groupBy("word").agg(F.sum("n").alias("c")), "counts")
     total = counts.agg(F.sum("c").alias("c"), F.count("*").alias("n")).head()
-    top = counts.where(F.col("word") != END).orderBy(F.desc("c"), "word").limit(LISTED_WORDS)
-    listed = [(bytes(r.word), r.c) for r in top.collect()]
-    end = counts.where(F.col("word") == END).collect()
-    listed += [(END, r.c) for r in end]
-    words, numbers = [w for w, _ in listed], np.array([c for _, c in listed], np.float64)
+    wanted = (F.col("c") >= _least_listed(counts)) | (F.col("word") == END)
+    rows = [(bytes(r.word), r.c) for r in counts.where(wanted).collect()]
+    rows.sort(key=lambda row: (row[0] == END, -row[1], row[0]))
+    words, numbers = [w for w, _ in rows], np.array([c for _, c in rows], np.float64)
     return counts, Vocabulary(words, numbers, total.c or 0, total.n)
 
 
@@ -352,7 +368,7 @@ def score(
     its numbers are the sums over their texts. Other columns play no part. An empty
     table gives an empty one; without texts to learn from every count is 0.
 
-    Counts and training cover all training texts. The counts of the 262,144 most frequent
+    Counts and training cover all training texts. The counts of up to 262,144 most frequent
     words go to every task; all other words, a row per document, meet their counts in a
     join, so that nothing that grows with the corpus is broadcast.
     """

@@ -146,8 +146,10 @@ def near_duplicates(
     columns play no part. An empty table gives an empty one.
     """
     prints = stored(fingerprints(docs, id_column, text_column, shingle), "prints")
+    # stored, so that the join below meets a print that very many rows share unsummed,
+    # and the skew join can split it
     classes = prints.groupBy("print").agg(F.min("doc_id").alias("id"))
-    classes = classes.where("id IS NOT NULL")
+    classes = stored(classes.where("id IS NOT NULL"), "classes")
     roots = component_roots(links(classes, distance))
     rooted = classes.join(roots, classes.id == roots.node, "left").select(
         "print", F.coalesce("root", "id").alias("component_id")
