@@ -25,6 +25,7 @@ LEAST_Z = 4.5
 WORDS_AT_MOST = 512
 RIDGE = 0.5
 NEWTON_STEPS = 12
+ROWS_AT_ONCE = 1024
 MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 EVIDENCE = "good double, toxic double"
 STATISTICS = 9
@@ -59,7 +60,7 @@ def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
             bars / count,
         ]
     )
-    return np.unique(buckets), statistics
+    return np.unique(buckets).astype(np.int32), statistics
 
 
 @dataclass
@@ -99,12 +100,12 @@ def _fitted(buckets: list[np.ndarray], statistics: np.ndarray, labels: np.ndarra
         return Head(none, none, np.zeros(STATISTICS), np.zeros(STATISTICS), np.ones(STATISTICS), 0)
     means, scales = statistics.mean(axis=0), statistics.std(axis=0) + 1e-6
     owner = np.repeat(np.arange(count), [len(b) for b in buckets])
-    flat = np.concatenate(buckets).astype(np.int64)
+    flat = np.concatenate(buckets)
     chosen = _telling(flat, labels[owner], labels.mean(), count)
     place = np.searchsorted(chosen, flat)
     place[place == len(chosen)] = 0
     hit = chosen[place] == flat if len(chosen) else np.zeros(len(flat), bool)
-    x = np.zeros((count, len(chosen) + STATISTICS + 1))
+    x = np.zeros((count, len(chosen) + STATISTICS + 1), np.float32)
     x[owner[hit], place[hit]] = 1
     x[:, len(chosen) : -1] = np.clip((statistics - means) / scales, -5, 5)
     x[:, -1] = 1
@@ -115,7 +116,10 @@ def _fitted(buckets: list[np.ndarray], statistics: np.ndarray, labels: np.ndarra
     for _ in range(NEWTON_STEPS):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         gradient = x.T @ (p - labels) + penalty * np.append(w[:-1], 0)
-        curvature = (x * (p * (1 - p))[:, None]).T @ x + np.diag(penalty)
+        curvature = np.diag(penalty)
+        for at in range(0, count, ROWS_AT_ONCE):
+            part = x[at : at + ROWS_AT_ONCE].astype(np.float64)
+            curvature += (part * (p * (1 - p))[at : at + ROWS_AT_ONCE, None]).T @ part
         step = np.linalg.solve(curvature, gradient)
         w -= step * min(1.0, 5 / max(1e-9, np.abs(step).max()))
     return Head(chosen, w[: len(chosen)], w[len(chosen) : -1], means, scales, float(w[-1]))
@@ -148,9 +152,12 @@ def _featured(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> tuple[Head, Head]:
-    """Fits on at most 20,000 labelled documents; the texts stay in the tasks."""
+    """Fits on at most 20,000 labelled documents; the texts stay in the tasks.
+
+    Three numbers for each of them are broadcast: half a megabyte, whatever the corpus.
+    """
     sample = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FITTED_AT_MOST)
-    given = docs.join(sample, "doc_id").select("text", "quality", "toxic")
+    given = docs.join(F.broadcast(sample), "doc_id").select("text", "quality", "toxic")
     schema = "buckets binary, statistics binary, quality int, toxic int"
     return fit([tuple(r) for r in given.mapInArrow(_featured, schema).collect()])
 
