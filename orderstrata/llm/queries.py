@@ -41,12 +41,11 @@ def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of each document without strings of 50 bytes of earlier ones."""
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     marked = repeats.mark_repeats(docs, window=50)
-    kept = repeats.with_kept_bytes(marked, "kept", "text", "repeats")
     removed = F.aggregate(
         "repeats", F.lit(0).cast("long"), lambda total, r: total + r["end"] - r["start"]
     )
     left = F.coalesce("kept", F.lit(b""))
-    return kept.select(
+    return marked.select(
         "doc_id",
         F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
         removed.alias("n_removed"),

@@ -480,34 +480,11 @@ SPANS = ArrayType(
 )
 
 
-def mark_repeats(
-    docs: DataFrame,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    window: int = 50,
-    into: str = "repeats",
-) -> DataFrame:
-    """``docs`` with the byte ranges that repeat an earlier document, in a column ``into``.
-
-    A byte of the text's UTF-8 form is in such a range if it is covered by ``window``
-    bytes in a row that also start somewhere in a document with a smaller id. All
-    strings are judged on the texts as given; overlaps count; none crosses documents.
-    Ranges are maximal, ascending, and given as ``start`` and ``end`` (not included).
-
-    NULL texts count as empty; a row without an id comes after all others; rows that
-    repeat an id don't count against each other. All columns are kept, whatever their
-    names, but for one named like ``into``, which is an error. An empty table gives an
-    empty one. Runs one job to store the batches; the rest is lazy.
-    """
+def _batches_with_ranges(docs: DataFrame, key: int, text: int, window: int) -> DataFrame:
+    """``rows`` and ``ranges``: every batch of documents with what to cut from it."""
     if window < GRAM + 8 or window > 200:
         raise ValueError("window: 24 to 200 bytes")
-    if unused_name(docs, into) != into:
-        raise ValueError(f"there is a column {into!r} already")
-    names = docs.columns
-    key, text = names.index(id_column), names.index(text_column)
-    docs = plainly_named(docs)
-    schema = StructType([*docs.schema.fields, StructField("ranges", SPANS)])
-    batches = _store_batches(docs, text)
+    batches = _store_batches(plainly_named(docs), text)
     total = batches.agg(F.sum("n_bytes")).head()[0] or 0
     buckets = max(1, ceil(total / BUCKET_BYTES))
     where = {"key": key, "text": text, "window": window, "buckets": buckets}
@@ -525,9 +502,7 @@ def mark_repeats(
 
     ranges = contexts.groupBy("bucket").applyInArrow(refine, BLOB)
     ranges = ranges.groupBy("batch_id").agg(F.collect_list("blob").alias("ranges"))
-    found = batches.join(ranges, "batch_id", "left").select("rows", "ranges")
-    covered = found.mapInArrow(lambda it: _cover(it, text), schema)
-    return covered.toDF(*names, into)
+    return batches.join(ranges, "batch_id", "left").select("rows", "ranges")
 
 
 def _kept(data: bytes, spans: list[dict]) -> bytes:
@@ -538,13 +513,14 @@ def _kept(data: bytes, spans: list[dict]) -> bytes:
     return b"".join([*parts, data[at:]])
 
 
-def _without(batches: Iterable[pa.RecordBatch], text: int, spans: int) -> Iterator[pa.RecordBatch]:
+def _without(batches: Iterable[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """What the ranges in the last column leave of the text, as one more column."""
     for batch in batches:
         values = []
-        for raw, cut in zip(
-            batch.column(text).cast(pa.binary()), batch.column(spans), strict=True
+        for raw, ranges in zip(
+            batch.column(text).cast(pa.binary()), batch.columns[-1], strict=True
         ):
-            whole, cut = raw.as_py(), cut.as_py()
+            whole, cut = raw.as_py(), ranges.as_py()
             values.append(_kept(whole, cut) if cut else whole)
         kept = pa.array(values, pa.binary())
         yield pa.RecordBatch.from_arrays(
@@ -552,25 +528,50 @@ def _without(batches: Iterable[pa.RecordBatch], text: int, spans: int) -> Iterat
         )
 
 
-def with_kept_bytes(marked: DataFrame, into: str, text_column: str, repeats: str) -> DataFrame:
-    """``marked`` with the text's remaining bytes one after another in a column ``into``.
+def mark_repeats(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    window: int = 50,
+    into: str = "repeats",
+    kept: str = "kept",
+) -> DataFrame:
+    """``docs`` with the byte ranges that repeat an earlier document, and what remains.
 
-    NULL where the text is NULL. Cutting can leave part of a character at either side.
+    A byte of the text's UTF-8 form is in such a range if it is covered by ``window``
+    bytes in a row that also start somewhere in a document with a smaller id. All
+    strings are judged on the texts as given; overlaps count; none crosses documents.
+    Ranges, in the column ``into``, are maximal, ascending, and given as ``start`` and
+    ``end`` (not included); ``kept`` has the remaining bytes one after another.
+
+    NULL texts count as empty, ``kept`` then is NULL; a row without an id comes after all
+    others; rows that repeat an id don't count against each other. All columns are kept,
+    whatever their names, but for one named like ``into`` or ``kept``, which is an error.
+    An empty table gives an empty one. Runs one job to store the batches; the rest is
+    lazy.
     """
-    names = marked.columns
-    text, spans = names.index(text_column), names.index(repeats)
-    marked = plainly_named(marked)
-    schema = StructType([*marked.schema.fields, StructField("kept", BinaryType())])
-    kept = marked.mapInArrow(lambda it: _without(it, text, spans), schema)
-    return kept.toDF(*names, into)
+    for name in (into, kept):
+        if unused_name(docs, name) != name:
+            raise ValueError(f"there is a column {name!r} already")
+    names, fields = docs.columns, plainly_named(docs).schema.fields
+    key, text = names.index(id_column), names.index(text_column)
+    found = _batches_with_ranges(docs, key, text, window)
+    added = [StructField("ranges", SPANS), StructField("kept", BinaryType())]
+    marked = found.mapInArrow(
+        lambda it: _without(_cover(it, text), text), StructType([*fields, *added])
+    )
+    return marked.toDF(*names, into, kept)
 
 
-def _as_text(batches: Iterable[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+def _as_text(batches: Iterable[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """The kept bytes in place of the text, without parts of characters."""
     for batch in batches:
-        columns = list(batch.columns[:-1])
-        kept = [None if v is None else v.decode(errors="ignore") for v in batch.columns[-1].to_pylist()]
-        columns[column] = pa.array(kept, pa.string())
-        yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
+        columns = list(batch.columns[:-2])
+        kept = batch.columns[-1].to_pylist()
+        columns[text] = pa.array(
+            [None if v is None else v.decode(errors="ignore") for v in kept], pa.string()
+        )
+        yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-2])
 
 
 def without_repeats(
@@ -581,10 +582,10 @@ def without_repeats(
     Of a character that a cut divides the rest goes as well. Cases as in
     :func:`mark_repeats`; a NULL text stays NULL.
     """
-    names = docs.columns
-    spans, kept = unused_name(docs, "repeats"), unused_name(docs, "kept")
-    marked = mark_repeats(docs, id_column, text_column, window, spans)
-    both = plainly_named(with_kept_bytes(marked, kept, text_column, spans).drop(spans))
-    schema = StructType(both.schema.fields[:-1])
-    column = names.index(text_column)
-    return both.mapInArrow(lambda it: _as_text(it, column), schema).toDF(*names)
+    names, plain = docs.columns, plainly_named(docs)
+    key, text = names.index(id_column), names.index(text_column)
+    found = _batches_with_ranges(docs, key, text, window)
+    cut = found.mapInArrow(
+        lambda it: _as_text(_without(_cover(it, text), text), text), plain.schema
+    )
+    return cut.toDF(*names)
