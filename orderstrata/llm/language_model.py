@@ -24,8 +24,8 @@ PARTS_OF_MEANS = 64
 
 REST, EDGE = 0, 1
 END = b""  # the token after a text; no word is empty
-NOISE = 16
-BATCH = 2048
+NOISE = 24
+BATCH = 1024
 
 
 @dataclass
@@ -83,7 +83,7 @@ class Trainer:
         self.noise = counts / counts.sum()
         self.log_noise = np.log(self.noise * NOISE)
         self.rng = np.random.default_rng(seed)
-        self.squares = [np.full_like(a, 1e-2) for a in vars(model).values()]
+        self.squares = [np.full_like(a, 1e-8) for a in vars(model).values()]
 
     def _step(self, k: int, array: np.ndarray, gradient: np.ndarray) -> None:
         self.squares[k] += gradient * gradient
@@ -282,7 +282,7 @@ def _mean(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def train(texts: DataFrame, words: Vocabulary, size: int = 16, rate: float = 0.1) -> Model:
+def train(texts: DataFrame, words: Vocabulary, size: int = 16, rate: float = 0.04) -> Model:
     """Each task trains on all of its texts from the same start; the mean is the model.
 
     Means are taken in 64 tasks first, so that the driver adds up 64 models at most.

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from orderstrata.llm.common import stored
 
 # Labelled documents that the classifier is fitted on, at most; chosen by hash.
-FITTED_AT_MOST = 20_000
+FITTED_AT_MOST = 10_000
 BUCKETS = 1 << 24
 # Documents of the fit that must hold a word before it counts.
 LEAST_DOCUMENTS = 5
@@ -92,12 +92,18 @@ def _telling(flat: np.ndarray, marked: np.ndarray, share: float, count: int) ->
     return np.sort(buckets[most[z[most] >= LEAST_Z]])
 
 
-def _fitted(buckets: list[np.ndarray], statistics: np.ndarray, labels: np.ndarray) -> Head:
-    """Newton's method with a ridge penalty on words and statistics."""
+def _fitted(
+    buckets: list[np.ndarray], statistics: np.ndarray, labels: np.ndarray, unknown: float
+) -> Head:
+    """Newton's method with a ridge penalty on words and statistics.
+
+    Without labels every document has the log odds ``unknown``.
+    """
     count = len(labels)
     if not count:
         none = np.empty(0)
-        return Head(none, none, np.zeros(STATISTICS), np.zeros(STATISTICS), np.ones(STATISTICS), 0)
+        zeros, ones = np.zeros(STATISTICS), np.ones(STATISTICS)
+        return Head(none, none, zeros, zeros, ones, unknown)
     means, scales = statistics.mean(axis=0), statistics.std(axis=0) + 1e-6
     owner = np.repeat(np.arange(count), [len(b) for b in buckets])
     flat = np.concatenate(buckets)
@@ -128,12 +134,13 @@ def _fitted(buckets: list[np.ndarray], statistics: np.ndarray, labels: np.ndarra
 def fit(rows: list[tuple[bytes, bytes, int, int]]) -> tuple[Head, Head]:
     """Heads for quality and for toxicity, from buckets, statistics and labels (-1: none)."""
     heads = []
-    for label in (2, 3):
+    # without labels all count as good, none as toxic
+    for label, unknown in ((2, 30.0), (3, -30.0)):
         known = [r for r in rows if r[label] >= 0]
         statistics = np.array([np.frombuffer(r[1], "<f8") for r in known])
         labels = np.array([min(r[label], 1) for r in known], np.float64)
         buckets = [np.frombuffer(r[0], "<i4") for r in known]
-        heads.append(_fitted(buckets, statistics.reshape(-1, STATISTICS), labels))
+        heads.append(_fitted(buckets, statistics.reshape(-1, STATISTICS), labels, unknown))
     return heads[0], heads[1]
 
 
@@ -152,9 +159,9 @@ def _featured(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> tuple[Head, Head]:
-    """Fits on at most 20,000 labelled documents; the texts stay in the tasks.
+    """Fits on at most 10,000 labelled documents; the texts stay in the tasks.
 
-    Three numbers for each of them are broadcast: half a megabyte, whatever the corpus.
+    Three numbers for each of them are broadcast: a quarter of a megabyte, whatever the corpus.
     """
     sample = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FITTED_AT_MOST)
     given = docs.join(F.broadcast(sample), "doc_id").select("text", "quality", "toxic")
@@ -226,8 +233,7 @@ def judge(
     NULL texts count as empty; NULL hosts and paths are hosts and paths like others, NULL ids
     are passed on; rows that repeat an id are judged each for itself. Labels of unknown
     documents are ignored; of a document labelled twice each row counts. Without labels
-    every document is kept,
-    as good and bad are even odds. Other columns play no part. An empty table gives an empty
+    of a kind every document passes for good by it. Other columns play no part. An empty table gives an empty
     one. What is shuffled holds no text, and sites are summed in the tasks first, so
     that a host with most documents is no hot spot.
     """

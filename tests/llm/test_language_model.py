@@ -1,0 +1,113 @@
+"""The language model: counts by hand, normalised probabilities, gain on held-out texts."""
+
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from orderstrata.llm import language_model as lm
+
+SCHEMA = "doc_id long, text string"
+
+
+def _held_out(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 7 == 2
+
+
+def _tokens(text):
+    return [*(text or "").encode().lower().split(), b""]
+
+
+def _wanted(rows):
+    counts = Counter()
+    for doc, text in rows:
+        if not _held_out(doc):
+            counts.update(_tokens(text))
+    total, distinct = sum(counts.values()), len(counts)
+    out = {}
+    for doc, text in rows:
+        t = _tokens(text)
+        base = sum(math.log10((counts[w] + 1) / (total + distinct + 1)) for w in t)
+        n, known, score = out.get(doc, (0, 0, 0.0))
+        out[doc] = (n + len(t), known + sum(counts[w] > 0 for w in t), score + base)
+    return out, total
+
+
+def _check(spark, rows):
+    docs = spark.createDataFrame([(*r, 1) for r in rows], SCHEMA + ", held_out int").coalesce(1)
+    found = lm.score(docs).collect()
+    wanted, total = _wanted(rows)
+    assert {r.doc_id for r in found} == set(wanted) and len(found) == len(wanted)
+    for r in found:
+        n, known, base = wanted[r.doc_id]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (n, known, total)
+        assert r.held_out == (r.doc_id is not None and _held_out(r.doc_id))
+        assert r.base_score == pytest.approx(base, rel=1e-9)
+        assert math.isfinite(r.score) and r.score < 0
+    return found
+
+
+def _grammar(count, seed=0):
+    """Texts in which a word depends on the two before it."""
+    rng = random.Random(seed)
+    words = [f"w{k}" for k in range(30)]
+    texts = []
+    for doc in range(count):
+        u, v, out = 0, 1, []
+        for _ in range(rng.randint(20, 60)):
+            u, v = v, (u + 2 * v + rng.choice([0, 0, 0, 1])) % 30
+            out.append(words[v] if rng.random() < 0.9 else f"rare{rng.randrange(3000)}")
+        texts.append((doc, " ".join(out)))
+    return texts
+
+
+def test_counts_and_gain(spark):
+    rows = _grammar(5000) + [(10000, None), (10001, ""), (5, "twice"), (5, "twice")]
+    assert any(_held_out(d) for d, _ in rows)
+    found = _check(spark, rows)
+    out = [r for r in found if r.held_out]
+    tokens = sum(r.n_tokens for r in out)
+    gain = sum(r.score - r.base_score for r in out) / tokens
+    assert gain > 0.1
+
+
+@pytest.mark.parametrize("listed", [0, 7])
+def test_few_listed_words(spark, listed, monkeypatch):
+    """Most counts come by the join; the numbers stay the same."""
+    monkeypatch.setattr(lm, "LISTED_WORDS", listed)
+    _check(spark, _grammar(40) + [(None, "no id")])
+
+
+def test_nothing(spark):
+    assert lm.score(spark.createDataFrame([], SCHEMA)).collect() == []
+    only = next(d for d in range(100) if _held_out(d))
+    row = lm.score(spark.createDataFrame([(only, "a b")], SCHEMA)).head()
+    assert (row.n_tokens, row.n_known, row.train_tokens) == (3, 0, 0)
+    assert row.base_score == 0 and math.isfinite(row.score)
+
+
+def test_probabilities_sum_to_one():
+    rng = np.random.default_rng(1)
+    counts = rng.integers(1, 50, 40).astype(float)
+    model = lm.Model.start(counts, 5, 3)
+    model.target += rng.normal(0, 1, model.target.shape)
+    (near, far), log_z = model.tables()
+    for u, v in ((0, 0), (3, 17), (39, 1)):
+        direct = model.target @ (model.context[u] * model.places[0] + model.context[v] * model.places[1])
+        direct += model.bias
+        assert np.allclose(near[u] + far[v], direct)
+        assert np.exp(near[u] + far[v] - log_z[u, v]).sum() == pytest.approx(1)
+
+
+def test_all_words_share_the_probability():
+    """Classes' probabilities and the shares within the rest add up to one."""
+    words = [b"a", b"b", b"c", b""]
+    vocabulary = lm.Vocabulary(words, np.array([5.0, 3.0, 2.0, 4.0]), 20, 9)
+    # 5 words of 6 tokens are not listed: each has (c + 1) / rest, and one unseen word 1 / rest
+    assert vocabulary.rest_size() == 6 + 5 + 1
+    assert vocabulary.classes().tolist() == [2, 3, 4, lm.EDGE]
+    counts = vocabulary.class_counts()
+    assert counts[:6].tolist() == [7, 5, 6, 4, 3, 1]
