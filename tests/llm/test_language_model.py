@@ -65,7 +65,7 @@ def _grammar(count, seed=0):
 
 
 def test_counts_and_gain(spark):
-    rows = _grammar(5000) + [(10000, None), (10001, ""), (5, "twice"), (5, "twice")]
+    rows = _grammar(9000) + [(10000, None), (10001, ""), (5, "twice"), (5, "twice")]
     assert any(_held_out(d) for d, _ in rows)
     found = _check(spark, rows)
     out = [r for r in found if r.held_out]
