@@ -1,35 +1,65 @@
-"""``python -m orderstrata INPUT_FOLDER TABLE_ROOT``: run every layer and show the report."""
+"""``python -m orderstrata INPUT_FOLDER STORE``: run every layer, keep and show the report."""
 
 from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import DataFrame
+
 from orderstrata.contracts import SALES
 from orderstrata.operators.enrich import one_per_subcategory
+from orderstrata.plans import ingest
 from orderstrata.plans.layers import run_layers
-from orderstrata.session import build_session
-from orderstrata.sources import ParquetTables
+from orderstrata.plans.reporting import UNCATEGORISED_TABLE, keep
+from orderstrata.session import build_session, size_for
+from orderstrata.sources import JdbcTables, ParquetTables, data_files
+
+# Rows of a result that are printed; the table it is kept in has them all.
+SHOWN_ROWS = 1000
+FILES = (ingest.PRODUCTS_FILE, ingest.ORDER_HEADERS_FILE, ingest.ORDER_DETAILS_FILE)
+
+
+def _show(title: str, table: str, result: DataFrame) -> None:
+    print(f"\n{title}")
+    result.show(SHOWN_ROWS, truncate=False)
+    rows = result.count()
+    if rows > SHOWN_ROWS:
+        print(f"{rows - SHOWN_ROWS} more rows in {table}")
 
 
 def main() -> None:
     parser = argparse.ArgumentParser(prog="orderstrata", description=__doc__)
     parser.add_argument("folder", help="folder with the three CSV files")
-    parser.add_argument("root", help="folder for the tables, shared by all executors")
+    parser.add_argument("store", help="folder for the tables, shared by all executors, or jdbc: URL")
     parser.add_argument("--wide-ids", action="store_true", help="64-bit identifiers")
-    parser.add_argument("--largest-bytes", type=int, help="size of the largest table")
+    parser.add_argument(
+        "--largest-bytes", type=int, help="size of the largest table; else that of the input files"
+    )
+    parser.add_argument(
+        "--jdbc-option", action="append", default=[], metavar="NAME=VALUE", help="user, driver, ..."
+    )
     args = parser.parse_args()
 
-    spark = build_session(largest_bytes=args.largest_bytes)
+    spark = build_session()
+    folder = args.folder.rstrip("/")
+    sizes = [sum(data_files(spark, f"{folder}/{name}").values()) for name in FILES]
+    size_for(spark, args.largest_bytes or max(sizes))
     layers = SALES.widened() if args.wide_ids else SALES
-    run = run_layers(ParquetTables(spark, args.root), args.folder, layers)
+    if args.store.startswith("jdbc:"):
+        options = dict(option.split("=", 1) for option in args.jdbc_option)
+        tables = JdbcTables(spark, args.store, properties=options)
+    else:
+        tables = ParquetTables(spark, args.store)
+    run = run_layers(tables, folder, layers)
     for outcome in (*run.migrated, run.products, run.orders):
         print(f"{outcome.table}: {outcome.rows} rows")
     if not run.products.uncategorised.isEmpty():
-        print("\nSubcategories without a product category")
-        one_per_subcategory(run.products.uncategorised).show()
+        listed = keep(
+            tables, UNCATEGORISED_TABLE, one_per_subcategory(run.products.uncategorised)
+        )
+        _show("Subcategories without a product category", UNCATEGORISED_TABLE, listed)
     for section in run.sections:
-        print(f"\n{section.question}")
-        section.result.show()
+        _show(section.question, section.table, keep(tables, section.table, section.result))
 
 
 if __name__ == "__main__":

@@ -4,19 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 
-def _typed(column: StructField) -> Column:
-    raw = F.col(column.name)
+def strictly(df: DataFrame, name: str, kind: DataType, told_as: str) -> Column:
+    """A column of ``df`` in a type; a value that does not fit fails the job in any session.
+
+    In ANSI mode Spark's own cast fails on text; without it the cast gives NULL, which
+    then is the error.
+    """
+    value = F.col(name)
+    given = df.select(value).schema.fields[0].dataType
+    if given == kind:
+        return value
+    cast = value.cast(kind) if isinstance(given, StringType) else value.try_cast(kind)
+    told = F.concat(F.lit(f"{told_as} does not take "), value.cast(StringType()))
+    return F.when(value.isNotNull() & cast.isNull(), F.raise_error(told)).otherwise(cast)
+
+
+def _typed(df: DataFrame, column: StructField) -> Column:
     if isinstance(column.dataType, StringType):
-        raw = F.trim(raw)
-    return raw.cast(column.dataType).alias(column.name)
+        return F.trim(F.col(column.name)).cast(column.dataType).alias(column.name)
+    return strictly(df, column.name, column.dataType, column.name).alias(column.name)
 
 
 def clean(df: DataFrame, schema: StructType) -> DataFrame:
     """The schema's columns in its order and types, texts trimmed; other columns are dropped.
 
-    Under ANSI mode, Spark's default, text that does not fit its type fails the job.
+    A value that does not fit its type fails the job, whether or not the session is in
+    ANSI mode.
     """
-    return df.select([_typed(column) for column in schema.fields])
+    return df.select([_typed(df, column) for column in schema.fields])

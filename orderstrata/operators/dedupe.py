@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Copies of one row that a single task writes out; more are spread over tasks.
-COPIES_PER_TASK = 65_536
-
 
 def _in_order(df: DataFrame, key: str) -> list[Column]:
     others = [name for name in df.columns if name != key]
@@ -32,7 +29,8 @@ def surplus_rows(df: DataFrame, key: str) -> DataFrame:
     A key is numbered in two steps: first the rows that one task has read, then
     the first ones of all tasks against each other. No group of the first step
     is larger than a task's input, and no group of the second has more first
-    rows than there were tasks, however many rows share the key.
+    rows than there were tasks, however many rows share the key. The price is two
+    shuffles of every row, those known to be surplus after the first step included.
     """
     order = _in_order(df, key)
     of_one_task = Window.partitionBy(key, "_task").orderBy(*order)
@@ -44,26 +42,3 @@ def surplus_rows(df: DataFrame, key: str) -> DataFrame:
     of_all_tasks = Window.partitionBy(key, "_group").orderBy(*order)
     far = near.withColumn("_group", group).withColumn("_far", F.row_number().over(of_all_tasks))
     return far.where("_near > 1 OR _far > 1").select(df.columns)
-
-
-def bag_difference(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows of ``left`` less those of ``right``, one for one, as ``EXCEPT ALL`` counts them.
-
-    Equal rows travel as one row with a count. They are written out again only
-    after a second shuffle in bounded runs, so that a row with very many copies
-    is not left to one task.
-    """
-    names = left.columns
-    signed = left.withColumn("_n", F.lit(1)).unionByName(right.withColumn("_n", F.lit(-1)))
-    surplus = signed.groupBy(*names).agg(F.sum("_n").alias("_n")).where("_n > 0")
-    runs = surplus.withColumn(
-        "_run", F.explode(F.sequence(F.lit(0), F.expr(f"(_n - 1) div {COPIES_PER_TASK}")))
-    )
-    # With a number given, the sizes before the copies are made don't merge partitions.
-    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    copies = F.least(F.lit(COPIES_PER_TASK), F.col("_n") - F.col("_run") * COPIES_PER_TASK)
-    return (
-        runs.repartition(tasks, *names, "_run")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), copies.cast("int"))))
-        .select(*names)
-    )

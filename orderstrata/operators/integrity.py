@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderstrata.contracts import Contract
+from orderstrata.operators.clean import strictly
 
 
 def referenced(df: DataFrame, parent: DataFrame, key: str) -> DataFrame:
@@ -24,6 +25,11 @@ def orphans(df: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     )
 
 
+def unreferenced(df: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+    """Rows that :func:`referenced` leaves out: orphans, and rows with a NULL key."""
+    return df.join(parent.select(key), key, "left_anti").select(df.columns)
+
+
 def missing_required(df: DataFrame, contract: Contract) -> DataFrame:
     """Rows with a NULL in a column that must be filled."""
     empty = [F.col(name).isNull() for name in contract.required]
@@ -56,14 +62,15 @@ def conform(df: DataFrame, contract: Contract) -> DataFrame:
     """
 
     def checked(name: str) -> Column:
-        value = F.col(name)
         where = f"{contract.name}.{name}"
+        value = strictly(df, name, contract.schema[name].dataType, where)
         if name in contract.required:
-            value = F.when(value.isNull(), F.raise_error(f"{where} is empty")).otherwise(value)
+            missing = F.raise_error(F.lit(f"{where} is empty"))
+            value = F.when(F.col(name).isNull(), missing).otherwise(value)
         if name in contract.domains:
             told = F.concat(F.lit(f"{where} does not allow "), F.col(name))
             bad = _outside(name, contract.domains[name])
             value = F.when(bad, F.raise_error(told)).otherwise(value)
-        return value.cast(contract.schema[name].dataType).alias(name)
+        return value.alias(name)
 
     return df.select([checked(name) for name in contract.columns])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from orderstrata.contracts import SALES, Contract, Layers
 from orderstrata.operators.clean import clean
 from orderstrata.operators.dedupe import keep_one, surplus_rows
-from orderstrata.operators.integrity import referenced
+from orderstrata.operators.integrity import referenced, unreferenced
 from orderstrata.plans.ingest import (
     RAW_ORDER_DETAILS,
     RAW_ORDER_HEADERS,
@@ -21,20 +21,24 @@ from orderstrata.plans.outcomes import Migrated
 from orderstrata.plans.sizing import small_enough
 
 
+Split = Callable[[DataFrame], tuple[DataFrame, DataFrame | None]]
+
+
 def _migrate(
     tables: Tables,
     raw_table: str,
     contract: Contract,
-    admit: Callable[[DataFrame], DataFrame] = lambda df: df,
+    admit: Split = lambda df: (df, None),
 ) -> Migrated:
-    """One write; the rows are counted in the table written, from its file footers."""
+    """One write; the rows are counted in the table written, not by a second run of the plan."""
     try:
-        cleaned = admit(clean(tables.read_raw(raw_table), contract.schema))
+        cleaned, rejected = admit(clean(tables.read_raw(raw_table), contract.schema))
         tables.write(contract, keep_one(cleaned, contract.key))
         return Migrated(
             contract.name,
-            rows=tables.read(contract).count(),
+            rows=tables.count(contract),
             duplicates=surplus_rows(cleaned, contract.key),
+            rejected=rejected,
         )
     except Exception as error:
         return Migrated(contract.name, error=str(error))
@@ -51,11 +55,14 @@ def migrate_order_headers(tables: Tables, layers: Layers = SALES) -> Migrated:
 def migrate_order_details(tables: Tables, layers: Layers = SALES) -> Migrated:
     """Details of products already in the store; the others are left out."""
 
-    def of_known_products(details: DataFrame) -> DataFrame:
+    def of_known_products(details: DataFrame) -> tuple[DataFrame, DataFrame]:
         known = tables.read(layers.products).select("ProductID")
         if small_enough(known):
             known = F.broadcast(known)
-        return referenced(details, known, "ProductID")
+        return (
+            referenced(details, known, "ProductID"),
+            unreferenced(details, known, "ProductID"),
+        )
 
     return _migrate(tables, RAW_ORDER_DETAILS, layers.order_details, of_known_products)
 

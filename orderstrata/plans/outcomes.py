@@ -21,12 +21,17 @@ class TablesCreated:
 
 @dataclass(frozen=True)
 class Migrated:
-    """A raw table brought to its typed form, or the text of what stopped it."""
+    """A raw table brought to its typed form, or the text of what stopped it.
+
+    ``duplicates`` are rows whose key another one has; ``rejected`` rows that were turned
+    away before, for naming no known product.
+    """
 
     table: str
     rows: int = 0
     error: str | None = None
     duplicates: DataFrame | None = None
+    rejected: DataFrame | None = None
 
     @property
     def success(self) -> bool:
@@ -49,10 +54,11 @@ class Published:
 
 @dataclass(frozen=True)
 class Section:
-    """A question of the report and the frame that answers it."""
+    """A question of the report, the frame that answers it, and the table that keeps it."""
 
     question: str
     result: DataFrame
+    table: str
 
 
 class StageFailed(RuntimeError):

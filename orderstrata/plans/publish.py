@@ -14,7 +14,7 @@ def publish_products(tables: Tables, layers: Layers = SALES) -> Published:
         tables.write(target, product_master(tables.read(layers.products)))
         published = tables.read(target)
         return Published(
-            target.name, rows=published.count(), uncategorised=without_category(published)
+            target.name, rows=tables.count(target), uncategorised=without_category(published)
         )
     except Exception as error:
         return Published(target.name, error=error)
@@ -27,6 +27,6 @@ def publish_orders(tables: Tables, layers: Layers = SALES) -> Published:
             tables.read(layers.order_details), tables.read(layers.order_headers)
         )
         tables.write(target, lines.drop("SalesOrderID"))
-        return Published(target.name, rows=tables.read(target).count())
+        return Published(target.name, rows=tables.count(target))
     except Exception as error:
         return Published(target.name, error=error)

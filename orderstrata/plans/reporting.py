@@ -20,6 +20,9 @@ from orderstrata.plans.sizing import BROADCAST_BYTES, small_enough
 # The questions as they are shown.
 TOP_COLOR_QUESTION = "Which color generated the highest revenue each year?"
 LEAD_TIME_QUESTION = "What is the average lead time for each product category?"
+TOP_COLOR_TABLE = "report_top_color_by_year"
+LEAD_TIME_TABLE = "report_avg_lead_time_by_category"
+UNCATEGORISED_TABLE = "report_uncategorised_subcategories"
 
 
 def sections(
@@ -38,8 +41,17 @@ def sections(
     else:
         colors = top_color_per_year(color_revenue_of(orders, attributes))
         lead_times = average_lead_times_of(orders, attributes)
-    return [Section(TOP_COLOR_QUESTION, colors), Section(LEAD_TIME_QUESTION, lead_times)]
+    return [
+        Section(TOP_COLOR_QUESTION, colors, TOP_COLOR_TABLE),
+        Section(LEAD_TIME_QUESTION, lead_times, LEAD_TIME_TABLE),
+    ]
 
 
 def report(tables: Tables, layers: Layers = SALES) -> list[Section]:
     return sections(tables.read(layers.published_orders), tables.read(layers.published_products))
+
+
+def keep(tables: Tables, name: str, result: DataFrame) -> DataFrame:
+    """``result`` as a table of that name, replaced if it is there; the table's rows."""
+    tables.write_raw(name, result)
+    return tables.read_raw(name)

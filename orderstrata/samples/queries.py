@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from orderstrata.contracts import Contract
+from orderstrata.contracts import SALES, Contract
 from orderstrata.functions import business_days
 from orderstrata.operators import dedupe, enrich, integrity, reports
 from orderstrata.operators.clean import clean
@@ -41,6 +41,23 @@ def clean_order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean(sample.raw_order_details(spark, sf_dir), LAYERS.order_details.schema)
 
 
+def declared_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contracts as declared, with 32-bit identifiers."""
+    return clean(sample.raw_products(spark, sf_dir), SALES.products.schema)
+
+
+def declared_order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean(sample.raw_order_headers(spark, sf_dir), SALES.order_headers.schema)
+
+
+def declared_order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clean(sample.raw_order_details(spark, sf_dir), SALES.order_details.schema)
+
+
+def declared_published_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return integrity.conform(published_orders(spark, sf_dir), SALES.published_orders)
+
+
 # --- one row per key, and the rest --------------------------------------------
 
 
@@ -71,7 +88,7 @@ def duplicate_order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 def details_except_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The duplicates once more, as the difference of two tables."""
     details = sample.order_details(spark, sf_dir)
-    return dedupe.bag_difference(details, dedupe.keep_one(details, "SalesOrderDetailID"))
+    return details.exceptAll(dedupe.keep_one(details, "SalesOrderDetailID"))
 
 
 # --- rules a contract declares --------------------------------------------------
@@ -198,42 +215,89 @@ RAW_FILES = {
 }
 
 
-def _files_and_tables(
-    spark: SparkSession, sf_dir: str, files: Iterable[str]
-) -> tuple[str, ParquetTables]:
-    """Raw sample tables as CSV in a new shared folder, and a place for tables beside it."""
-    root = f"{shared_folder(spark)}/layers-{uuid.uuid4().hex}"
-    for name in files:
-        RAW_FILES[name](spark, sf_dir).write.csv(
-            f"{root}/input/{name}",
-            header=True,
-            ignoreLeadingWhiteSpace=False,
-            ignoreTrailingWhiteSpace=False,
-        )
-    return f"{root}/input", ParquetTables(spark, f"{root}/tables")
+_inputs: dict[tuple[str, str], str] = {}
+
+
+def input_files(spark: SparkSession, sf_dir: str) -> str:
+    """A shared folder with the raw sample tables as CSV, made once per session and size."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _inputs:
+        folder = f"{shared_folder(spark)}/input-{uuid.uuid4().hex}"
+        for name, rows in RAW_FILES.items():
+            _write_csv(rows(spark, sf_dir), f"{folder}/{name}")
+        _inputs[key] = folder
+    return _inputs[key]
+
+
+def _write_csv(rows: DataFrame, path: str) -> None:
+    blanks_kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.write.mode("append").csv(path, header=True, **blanks_kept)
+
+
+def _new_tables(spark: SparkSession) -> ParquetTables:
+    return ParquetTables(spark, f"{shared_folder(spark)}/layers-{uuid.uuid4().hex}")
 
 
 def bronze_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder, tables = _files_and_tables(spark, sf_dir, [ingest.PRODUCTS_FILE])
-    ingest.load_products(tables, folder)
+    tables = _new_tables(spark)
+    ingest.load_products(tables, input_files(spark, sf_dir))
     return tables.read_raw(ingest.RAW_PRODUCTS)
 
 
 def bronze_order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder, tables = _files_and_tables(spark, sf_dir, [ingest.ORDER_HEADERS_FILE])
-    ingest.load_order_headers(tables, folder)
+    tables = _new_tables(spark)
+    ingest.load_order_headers(tables, input_files(spark, sf_dir))
     return tables.read_raw(ingest.RAW_ORDER_HEADERS)
 
 
 def bronze_order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder, tables = _files_and_tables(spark, sf_dir, [ingest.ORDER_DETAILS_FILE])
-    ingest.load_order_details(tables, folder)
+    tables = _new_tables(spark)
+    ingest.load_order_details(tables, input_files(spark, sf_dir))
     return tables.read_raw(ingest.RAW_ORDER_DETAILS)
 
 
+def bronze_order_details_of_two_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Details in a folder of files that list the columns in two different orders."""
+    folder = f"{shared_folder(spark)}/exports-{uuid.uuid4().hex}"
+    path = f"{folder}/{ingest.ORDER_DETAILS_FILE}"
+    details = sample.raw_order_details(spark, sf_dir)
+    early = F.pmod(F.xxhash64(*details.columns), F.lit(2)) == 0
+    _write_csv(details.where(early), path)
+    _write_csv(details.where(~early).select(details.columns[::-1]), path)
+    tables = _new_tables(spark)
+    ingest.load_order_details(tables, folder)
+    return tables.read_raw(ingest.RAW_ORDER_DETAILS).select(details.columns)
+
+
 def _run(spark: SparkSession, sf_dir: str) -> tuple[LayersRun, ParquetTables]:
-    folder, tables = _files_and_tables(spark, sf_dir, RAW_FILES)
-    return run_layers(tables, folder, LAYERS), tables
+    tables = _new_tables(spark)
+    return run_layers(tables, input_files(spark, sf_dir), LAYERS), tables
+
+
+def layers_store_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run(spark, sf_dir)[1].read(LAYERS.products)
+
+
+def layers_store_order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run(spark, sf_dir)[1].read(LAYERS.order_headers)
+
+
+def layers_store_order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run(spark, sf_dir)[1].read(LAYERS.order_details)
+
+
+def layers_rejected_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Details turned away for naming no known product."""
+    return _run(spark, sf_dir)[0].migrated[2].rejected
+
+
+def layers_created_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each typed table after a run, and once the tables are created anew."""
+    _, tables = _run(spark, sf_dir)
+    before = {c.name: tables.count(c) for c in LAYERS.all()}
+    created = ingest.create_tables(tables, LAYERS.all()).created
+    counts = [(c.name, before[c.name], tables.count(c)) for c in LAYERS.all() if c.name in created]
+    return spark.createDataFrame(counts, "table_name string, rows_before bigint, rows_after bigint")
 
 
 def layers_published_products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,6 +340,10 @@ QUERIES: dict[str, Query] = {
         clean_products,
         clean_order_headers,
         clean_order_details,
+        declared_products,
+        declared_order_headers,
+        declared_order_details,
+        declared_published_orders,
         kept_products,
         kept_order_headers,
         kept_order_details,
@@ -297,6 +365,12 @@ QUERIES: dict[str, Query] = {
         bronze_products,
         bronze_order_headers,
         bronze_order_details,
+        bronze_order_details_of_two_exports,
+        layers_store_products,
+        layers_store_order_headers,
+        layers_store_order_details,
+        layers_rejected_details,
+        layers_created_again,
         layers_published_products,
         layers_published_orders,
         layers_row_counts,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from orderstrata.contracts import SALES
 from orderstrata.samples.tables import LAYERS
 
 # --- common table expressions ---------------------------------------------------
@@ -224,6 +225,23 @@ counted AS (
   SELECT *, {_business_days("order_date", "ship_date")} AS business_days FROM spans)"""
 
 
+def _declared(contract, *parts: str) -> str:
+    """The last part's rows in the contract's columns and types."""
+    columns = ", ".join(
+        f"CAST({f.name} AS {SQL_TYPES[f.dataType.simpleString()]}) AS {f.name}"
+        for f in contract.schema.fields
+    )
+    *ctes, source = parts
+    return _query(*ctes, f"\nSELECT {columns} FROM {source}")
+
+
+def _before_and_after(name: str, source: str) -> str:
+    return (
+        f"SELECT '{name}' AS table_name, count(*) AS rows_before,"
+        f" CAST(0 AS BIGINT) AS rows_after FROM {source}"
+    )
+
+
 def _count(name: str, source: str, condition: str = "TRUE") -> str:
     return f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {source} WHERE {condition}"
 
@@ -245,6 +263,16 @@ ORACLE_SQL: dict[str, str] = {
     "clean_order_details": _query(
         DETAILS, RAW_DETAILS, CLEAN_DETAILS, "\nSELECT * FROM clean_details"
     ),
+    "declared_products": _declared(
+        SALES.products, PRODUCTS, RAW_PRODUCTS, CLEAN_PRODUCTS, "clean_products"
+    ),
+    "declared_order_headers": _declared(
+        SALES.order_headers, HEADERS, RAW_HEADERS, CLEAN_HEADERS, "clean_headers"
+    ),
+    "declared_order_details": _declared(
+        SALES.order_details, DETAILS, RAW_DETAILS, CLEAN_DETAILS, "clean_details"
+    ),
+    "declared_published_orders": _declared(SALES.published_orders, *DIRECT, "published"),
     "kept_products": _query(
         PRODUCTS,
         RAW_PRODUCTS,
@@ -353,6 +381,31 @@ FROM master WHERE ProductCategoryName IS NULL GROUP BY 1""",
     "bronze_products": _query(PRODUCTS, RAW_PRODUCTS, "\nSELECT * FROM raw_products"),
     "bronze_order_headers": _query(HEADERS, RAW_HEADERS, "\nSELECT * FROM raw_headers"),
     "bronze_order_details": _query(DETAILS, RAW_DETAILS, "\nSELECT * FROM raw_details"),
+    "bronze_order_details_of_two_exports": _query(
+        DETAILS, RAW_DETAILS, "\nSELECT * FROM raw_details"
+    ),
+    "layers_store_products": _query(*STORE, "\nSELECT * FROM store_products"),
+    "layers_store_order_headers": _query(*STORE, "\nSELECT * FROM store_headers"),
+    "layers_store_order_details": _query(*STORE, "\nSELECT * FROM store_details"),
+    "layers_rejected_details": _query(
+        *STORE,
+        """
+SELECT * FROM clean_details d
+WHERE NOT EXISTS (SELECT 1 FROM store_products p WHERE p.ProductID = d.ProductID)""",
+    ),
+    "layers_created_again": _query(
+        *LAYERED,
+        "\n"
+        + "\nUNION ALL ".join(
+            [
+                _before_and_after("store_products", "store_products"),
+                _before_and_after("store_sales_order_header", "store_headers"),
+                _before_and_after("store_sales_order_detail", "store_details"),
+                _before_and_after("publish_product", "master"),
+                _before_and_after("publish_orders", "published"),
+            ]
+        ),
+    ),
     "layers_published_products": _query(*LAYERED, "\nSELECT * FROM master"),
     "layers_published_orders": _query(*LAYERED, "\nSELECT * FROM published"),
     "layers_row_counts": _query(

@@ -2,13 +2,63 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 
 
+def data_files(spark: SparkSession, path: str) -> dict[str, int]:
+    """Files at a path, in a folder or by a pattern, with their bytes; hidden ones left out."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    pattern = jvm.org.apache.hadoop.fs.Path(path)
+    system = pattern.getFileSystem(conf)
+    found: dict[str, int] = {}
+    for match in system.globStatus(pattern) or []:
+        listed = system.listStatus(match.getPath()) if match.isDirectory() else [match]
+        for status in listed:
+            name = status.getPath().getName()
+            if not status.isDirectory() and not name.startswith(("_", ".")):
+                found[status.getPath().toString()] = status.getLen()
+    return found
+
+
+def _first_line(spark: SparkSession, file: str) -> str:
+    """The header line; only the first block of the file is opened, by the driver."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(conf).open(path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+    readable = stream if codec is None else codec.createInputStream(stream)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(readable, "UTF-8"))
+    try:
+        return (reader.readLine() or "").removeprefix("\ufeff")
+    finally:
+        reader.close()
+
+
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV file or folder with a header row; every column is text.
+    """A CSV file or folder with a header row in each file; every column is text.
 
-    Names and their order come from the header, not from a given schema, which
-    Spark would apply by position. Only the first line is read for it.
+    Columns go by name: files of a folder may list them in different orders. One that
+    lacks a column or has one more than the others is an error that names the file. Files
+    with the same header are one scan; Spark holds every file against it once more while
+    reading. Empty files are left out.
     """
-    return spark.read.csv(path, header=True)
+    files = [file for file, size in sorted(data_files(spark, path).items()) if size]
+    if len(files) < 2:
+        return spark.read.csv(path, header=True, enforceSchema=False)
+    by_header: dict[str, list[str]] = defaultdict(list)
+    for file in files:
+        by_header[_first_line(spark, file)].append(file)
+    scans = [
+        (alike[0], spark.read.csv(alike, header=True, enforceSchema=False))
+        for alike in by_header.values()
+    ]
+    names = {name.lower() for name in scans[0][1].columns}
+    for file, scan in scans[1:]:
+        differing = names ^ {name.lower() for name in scan.columns}
+        if differing:
+            told = ", ".join(sorted(differing))
+            raise ValueError(f"{file} and {scans[0][0]} differ in the columns {told}")
+    return reduce(DataFrame.unionByName, [scan for _, scan in scans])

@@ -37,15 +37,22 @@ class JdbcTables:
     """Named tables of one database; every write replaces the whole table.
 
     ``properties`` are passed to the driver (user, password, ...). Without a
-    :class:`Split` a table is read by a single task, so give one for each table
-    that is not small. ``connections`` bounds the tasks that write at a time.
+    :class:`Split` or predicates a table is read by a single task, so give one for each
+    table that is not small. A split goes by a numeric or date column, which raw tables
+    don't have: they take ``predicates``, conditions in the database's SQL that part the
+    rows among them, a task for each. ``connections`` bounds the tasks that write at a
+    time.
+
+    A typed write empties the table and those that refer to it, and keeps their
+    definitions: parents are to be written before their children, as the stages do.
     """
 
     spark: SparkSession
     url: str
     properties: dict[str, str] = field(default_factory=dict)
     splits: dict[str, Split] = field(default_factory=dict)
-    connections: int | None = None
+    predicates: dict[str, list[str]] = field(default_factory=dict)
+    connections: int = 16
 
     def read_options(self, name: str) -> dict[str, str]:
         options = {**self.properties, "url": self.url, "dbtable": name}
@@ -55,15 +62,18 @@ class JdbcTables:
 
     def write_options(self, name: str, typed: bool) -> dict[str, str]:
         options = {**self.properties, "url": self.url, "dbtable": name}
-        if self.connections is not None:
-            options["numPartitions"] = str(self.connections)
+        options["numPartitions"] = str(self.connections)
         if typed:
             # Empty the table but keep its definition, and let the database
             # turn text into its own enumerated types.
-            options.update(truncate="true", stringtype="unspecified")
+            options.update(truncate="true", cascadeTruncate="true", stringtype="unspecified")
         return options
 
     def read_raw(self, name: str) -> DataFrame:
+        if name in self.predicates:
+            return self.spark.read.jdbc(
+                self.url, name, predicates=self.predicates[name], properties=self.properties
+            )
         return self.spark.read.format("jdbc").options(**self.read_options(name)).load()
 
     def write_raw(self, name: str, df: DataFrame) -> None:
@@ -77,5 +87,11 @@ class JdbcTables:
         options = self.write_options(contract.name, typed=True)
         conform(df, contract).write.format("jdbc").options(**options).mode("overwrite").save()
 
+    def count(self, contract: Contract) -> int:
+        """Rows of a table, counted by the database."""
+        options = {**self.properties, "url": self.url}
+        options["query"] = f"SELECT count(*) AS n FROM {contract.name}"
+        return int(self.spark.read.format("jdbc").options(**options).load().first()[0])
+
     def create(self, contract: Contract) -> None:
         self.write(contract, empty_table(self.spark, contract))

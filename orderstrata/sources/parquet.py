@@ -32,6 +32,10 @@ class ParquetTables:
     def write(self, contract: Contract, df: DataFrame) -> None:
         self.write_raw(contract.name, conform(df, contract))
 
+    def count(self, contract: Contract) -> int:
+        """Rows of a table, from its file footers."""
+        return self.read(contract).count()
+
     def create(self, contract: Contract) -> None:
         """The table without rows, in place of whatever it held."""
         self.write_raw(contract.name, empty_table(self.spark, contract))

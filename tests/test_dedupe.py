@@ -69,26 +69,6 @@ def test_no_surplus(spark):
     assert dedupe.surplus_rows(df, "k").isEmpty()
 
 
-def test_bag_difference_counts_copies(spark):
-    left = spark.createDataFrame([(1, "a", 1)] * 3 + [(2, "b", 2), (3, None, None)], SCHEMA)
-    right = spark.createDataFrame([(1, "a", 1), (3, None, None), (4, "d", 4)], SCHEMA)
-    difference = dedupe.bag_difference(left, right)
-    assert difference.columns == left.columns
-    assert bag(difference) == Counter({(1, "a", 1): 2, (2, "b", 2): 1})
-    assert bag(difference) == bag(left.exceptAll(right))
-
-
-def test_copies_of_one_row_are_written_by_several_tasks(spark, monkeypatch):
-    monkeypatch.setattr(dedupe, "COPIES_PER_TASK", 10)
-    copies = spark.range(1000).select(
-        F.lit(1).alias("k"), F.lit("same").alias("a"), F.lit(2).alias("b")
-    )
-    difference = dedupe.bag_difference(copies, copies.limit(1))
-    assert bag(difference) == Counter({(1, "same", 2): 999})
-    by_task = difference.groupBy(F.spark_partition_id()).count().collect()
-    assert len(by_task) > 1
-
-
 def test_surplus_of_one_key_is_numbered_by_several_tasks(spark):
     copies = spark.range(0, 8000, 1, 8).select(
         (F.col("id") * 0 + 1).alias("k"), F.lit("same").alias("a"), F.lit(2).alias("b")

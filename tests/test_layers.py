@@ -180,6 +180,7 @@ def test_jdbc_options(spark):
         spark,
         "jdbc:postgresql://host/db",
         properties={"user": "u"},
+        predicates={"raw_products": ["ProductID < '5'", "ProductID >= '5'"]},
         splits={"store_products": Split("ProductID", 0, 1000, 16)},
         connections=4,
     )
@@ -223,7 +224,14 @@ def test_jdbc_calls(spark, monkeypatch):
     tables = JdbcTables(spark, "jdbc:x:y")
     tables.create(SALES.order_headers)
     name = SALES.order_headers.name
-    written = {"url": "jdbc:x:y", "dbtable": name, "truncate": "true", "stringtype": "unspecified"}
+    written = {
+        "url": "jdbc:x:y",
+        "dbtable": name,
+        "numPartitions": "16",
+        "truncate": "true",
+        "cascadeTruncate": "true",
+        "stringtype": "unspecified",
+    }
     assert asked == [
         ("format", ("jdbc",)),
         ("options", written),
@@ -239,6 +247,107 @@ def test_jdbc_calls(spark, monkeypatch):
     ]
 
 
+def test_jdbc_reads_by_predicates_and_counts_in_the_database(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(DataFrameReader, "jdbc", lambda self, *a, **k: asked.append((a, k)))
+    monkeypatch.setattr(DataFrameReader, "options", lambda self, **k: asked.append(k) or self)
+    counted = spark.createDataFrame([(7,)], "n long")
+    monkeypatch.setattr(DataFrameReader, "load", lambda self: counted)
+    conditions = ["ProductID < '5'", "ProductID >= '5' OR ProductID IS NULL"]
+    tables = JdbcTables(
+        spark, "jdbc:x:y", properties={"user": "u"}, predicates={"raw_products": conditions}
+    )
+    tables.read_raw("raw_products")
+    assert tables.count(SALES.products) == 7
+    assert asked == [
+        (("jdbc:x:y", "raw_products"), {"predicates": conditions, "properties": {"user": "u"}}),
+        {"user": "u", "url": "jdbc:x:y", "query": "SELECT count(*) AS n FROM store_products"},
+    ]
+
+
+def exports(folder, *texts):
+    folder.mkdir()
+    for number, text in enumerate(texts):
+        (folder / f"part{number}.csv").write_text(text)
+    return str(folder)
+
+
+def test_files_of_a_folder_are_read_by_name(spark, tmp_path):
+    folder = exports(
+        tmp_path / "headers.csv", "a,b,c\n1,2,3\n", "c,a,b\n6,4,5\n", "a,b,c\n7,8,9\n", ""
+    )
+    assert rows(read_csv(spark, folder).select("a", "b", "c")) == [
+        ("1", "2", "3"),
+        ("4", "5", "6"),
+        ("7", "8", "9"),
+    ]
+
+
+@pytest.mark.parametrize("other", ["a,b\n1,2\n", "a,b,c,d\n1,2,3,4\n", "a,b,x\n1,2,3\n"])
+def test_a_missing_or_extra_column_names_the_file(spark, tmp_path, other):
+    folder = exports(tmp_path / "headers.csv", "a,b,c\n1,2,3\n", other)
+    with pytest.raises(ValueError, match="part1.csv .*differ in the columns"):
+        read_csv(spark, folder)
+
+
+@pytest.mark.parametrize(
+    ("text", "kind"), [("6/1/2021", "date"), ("soon", "date"), ("x", "int"), ("3000000000", "int")]
+)
+def test_cleaning_is_strict_without_ansi_mode(spark, text, kind):
+    from pyspark.sql.types import StructType
+
+    from orderstrata.operators.clean import clean
+
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = spark.createDataFrame([(text,), (None,)], "value string")
+        with pytest.raises(Exception, match=f"value does not take {text}"):
+            clean(df, StructType.fromDDL(f"value {kind}")).collect()
+        assert clean(df.where("value IS NULL"), StructType.fromDDL(f"value {kind}")).count() == 1
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_partitions_follow_the_input(spark, tmp_path):
+    from orderstrata.session import size_settings
+    from orderstrata.sources import data_files
+
+    folder = exports(tmp_path / "headers.csv", "a\n1\n", "a\n1234\n")
+    (tmp_path / "headers.csv" / "_SUCCESS").write_text("x" * 100)
+    assert sorted(data_files(spark, folder).values()) == [4, 7]
+    assert data_files(spark, str(tmp_path / "nowhere")) == {}
+    parts = [int(size_settings(n)["spark.sql.shuffle.partitions"]) for n in (0, 10**12, 10**14)]
+    assert parts[0] == 200 and parts[0] < parts[1] < parts[2]
+
+
+def test_rejected_details(spark, tmp_path, tables):
+    run = run_layers(tables, write_files(tmp_path / "input"))
+    assert run.migrated[0].rejected is None
+    turned_away = run.migrated[2].rejected
+    assert sorted(r.SalesOrderDetailID for r in turned_away.collect()) == [4, 5]
+
+
+def test_many_subcategories_are_all_kept_and_shown(spark, tmp_path, monkeypatch, capsys):
+    from orderstrata.__main__ import main
+    from orderstrata.plans.reporting import UNCATEGORISED_TABLE
+
+    names = [f"A subcategory with a long name, number {k}" for k in range(30)]
+    more = "".join(f'x,{100 + k},n,n,0,,1,1,1,2,,,,,,"{name}"\n' for k, name in enumerate(names))
+    folder = write_files(tmp_path / "input", products=PRODUCTS + more)
+    monkeypatch.setattr("sys.argv", ["orderstrata", folder, str(tmp_path / "tables")])
+    try:
+        main()
+    finally:
+        for name in ("shuffle.partitions", "files.maxPartitionBytes",
+                     "adaptive.advisoryPartitionSizeInBytes"):
+            spark.conf.unset(f"spark.sql.{name}")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    shown = capsys.readouterr().out
+    assert all(name in shown for name in names)
+    kept = ParquetTables(spark, str(tmp_path / "tables")).read_raw(UNCATEGORISED_TABLE)
+    assert {r.ProductSubCategoryName for r in kept.collect()} == {*names, "Chains"}
+
+
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 

@@ -6,7 +6,9 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from orderstrata.samples.queries import QUERIES
+from orderstrata.samples.sql import ORACLE_SQL
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
@@ -26,13 +28,13 @@ def _sorted_rows(columns, rows):
 
 
 def test_each_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLE_SQL) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_rows(spark, duck, name):
-    frame = queries()[name](spark, SF_DIR)
-    expected = duck.execute(oracle_sql()[name])
+    frame = QUERIES[name](spark, SF_DIR)
+    expected = duck.execute(ORACLE_SQL[name])
     expected_columns = [c[0] for c in expected.description]
     expected_rows = expected.fetchall()
     assert sorted(frame.columns) == sorted(expected_columns)
