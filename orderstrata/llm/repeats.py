@@ -13,6 +13,7 @@ order and common prefixes give the bucket of every string.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 from functools import partial
 from math import ceil
 
@@ -27,9 +28,10 @@ from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, Stru
 from orderstrata.llm.common import new_folder, pack, plainly_named, unpack, unused_name
 
 GRAM = 16
-# Bytes of text in a batch, windows looked at together, bytes of text behind a bucket.
+# Bytes of text in a batch, windows and anchors looked at together, bytes of text behind a bucket.
 BATCH_BYTES = 1 << 20
 WINDOWS_AT_ONCE = 1 << 20
+ANCHORS_AT_ONCE = 1 << 16
 BUCKET_BYTES = 8 << 20
 PLACE_BITS = np.uint64(24)
 MULTIPLIERS = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)]
@@ -172,10 +174,15 @@ def _runs(ordered: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
 
 
-def _cuts(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    """Where each bucket starts among sorted hashes: buckets are ranges of hashes."""
+def _parts(hashes: np.ndarray, buckets: int) -> list[tuple[int, int, int]]:
+    """Buckets that hold any of the sorted hashes, with the places of each one's first and end.
+
+    Buckets are ranges of hashes.
+    """
     at = ((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-    return np.searchsorted(at, np.arange(buckets + 1, dtype=np.uint64))
+    starts = _runs(at)
+    ends = np.append(starts[1:], len(at))
+    return list(zip(at[starts].tolist(), starts.tolist(), ends.tolist(), strict=True))
 
 
 def _blobs(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
@@ -185,14 +192,27 @@ def _blobs(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, ["bucket", "batch_id", "blob"])
 
 
-def _distinct_hashes(rows: pa.RecordBatch, key: int, text: int, window: int):
-    """Anchors in the order of their hashes, and where each distinct hash starts."""
+@dataclass
+class _Found:
+    """A batch's anchors in the order of their hashes, and where each distinct hash starts."""
+
+    data: np.ndarray
+    ends: np.ndarray
+    hashes: np.ndarray
+    places: np.ndarray
+    firsts: np.ndarray
+    lasts: np.ndarray
+    ids: np.ndarray
+    starts: np.ndarray
+
+
+def _found(rows: pa.RecordBatch, key: int, text: int, window: int) -> _Found:
     data, ends = _texts(rows, text)
-    hashes, places, firsts, lasts = _all_anchors(data, ends, window)
-    order = np.argsort(hashes, kind="stable")
-    hashes, places, firsts, lasts = (a[order] for a in (hashes, places, firsts, lasts))
+    anchors = _all_anchors(data, ends, window)
+    order = np.argsort(anchors[0], kind="stable")
+    hashes, places, firsts, lasts = (a[order] for a in anchors)
     ids = _ids(rows, key)[np.searchsorted(ends, places, side="right")]
-    return data, hashes, places, firsts, lasts, ids, _runs(hashes)
+    return _Found(data, ends, hashes, places, firsts, lasts, ids, _runs(hashes))
 
 
 def _send_hashes(
@@ -201,19 +221,15 @@ def _send_hashes(
     """Per bucket each distinct gram of a batch, with the least and the greatest id."""
     for batch in batches:
         for number, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            found = _distinct_hashes(_rows(raw.as_py()), key, text, window)
-            hashes, ids, starts = found[1], found[5], found[6]
-            if not len(starts):
+            found = _found(_rows(raw.as_py()), key, text, window)
+            if not len(found.starts):
                 continue
-            least, most = np.minimum.reduceat(ids, starts), np.maximum.reduceat(ids, starts)
-            grams = hashes[starts]
-            cuts, rows = _cuts(grams, buckets), []
-            for bucket in range(buckets):
-                cut = slice(cuts[bucket], cuts[bucket + 1])
-                if cut.start < cut.stop:
-                    steps = np.diff(grams[cut], prepend=np.uint64(0))
-                    blob = pack([steps, least[cut], most[cut] - least[cut]])
-                    rows.append((bucket, number, blob))
+            least = np.minimum.reduceat(found.ids, found.starts)
+            most = np.maximum.reduceat(found.ids, found.starts)
+            grams, rows = found.hashes[found.starts], []
+            for bucket, a, b in _parts(grams, buckets):
+                steps = np.diff(grams[a:b], prepend=np.uint64(0))
+                rows.append((bucket, number, pack([steps, least[a:b], most[a:b] - least[a:b]])))
             yield _blobs(rows)
 
 
@@ -239,25 +255,32 @@ def _mark_shared(table: pa.Table) -> pa.Table:
 # --- strings of shared anchors --------------------------------------------------------
 
 
-def _contexts(data, places, firsts, lasts, window: int) -> np.ndarray:
+def _contexts(around: np.ndarray, places, firsts, lasts, window: int) -> np.ndarray:
     """The bytes of all windows of each anchor, the gram always at the same columns.
 
-    The last two columns hold the least and the greatest offset of the gram in them.
+    ``around`` has a row for each place. The last two columns hold the least and the
+    greatest offset of the gram in the windows.
     """
     reach = window - GRAM
     width = window + reach
-    # an anchor near the end still needs `width` places to look up
-    padded = np.concatenate((np.zeros(reach, np.uint8), data, np.zeros(width, np.uint8)))
-    around = np.lib.stride_tricks.sliding_window_view(padded, width)[places]
     least, most = places - lasts, places - firsts
     columns = np.arange(width)
     inside = (columns >= (reach - most)[:, None]) & (columns < (width - least)[:, None])
     rows = np.empty((len(places), width + 2), np.uint8)
-    rows[:, :width] = np.where(inside, around, 0)
+    rows[:, :width] = np.where(inside, around[places], 0)
     rows[:, width], rows[:, width + 1] = least, most
     return rows
 
 
+def _around(data: np.ndarray, window: int) -> np.ndarray:
+    """For each place the bytes around it, a view; zeros beyond the ends."""
+    reach = window - GRAM
+    width = window + reach
+    # an anchor near the end still needs `width` places to look up
+    padded = np.concatenate((np.zeros(reach, np.uint8), data, np.zeros(width, np.uint8)))
+    return np.lib.stride_tricks.sliding_window_view(padded, width)
+
+
 def _distinct_rows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Indices of distinct rows in sorted order, and for each row which it equals."""
     whole = np.ascontiguousarray(rows).view(f"V{rows.shape[1]}").reshape(-1)
@@ -265,41 +288,73 @@ def _distinct_rows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, inverse
 
 
+def _chunks(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of parts that hold up to ``ANCHORS_AT_ONCE`` anchors, or are one part."""
+    at, held = 0, 0
+    for k, size in enumerate(sizes):
+        if k > at and held + size > ANCHORS_AT_ONCE:
+            yield at, k
+            at, held = k, 0
+        held += size
+    if at < len(sizes):
+        yield at, len(sizes)
+
+
+def _shared_contexts(found: _Found, marks: dict[int, bytes], window: int, buckets: int):
+    """Distinct contexts of the marked grams, bucket by bucket, each with its least id.
+
+    Yields for some buckets at a time: the buckets, where each one's contexts start,
+    the contexts, their least ids, and the anchors with the context each has. The same
+    marks give the same contexts in the same order.
+    """
+    bounds = np.append(found.starts, len(found.hashes))
+    listed, kept = [], []
+    for bucket, a, b in _parts(found.hashes[found.starts], buckets):
+        if bucket in marks:
+            bits = np.unpackbits(np.frombuffer(marks[bucket], np.uint8))[: b - a]
+            wanted = np.repeat(bits.astype(bool), np.diff(bounds[a : b + 1]))
+            listed.append(bucket)
+            kept.append(np.flatnonzero(wanted) + bounds[a])
+    around = _around(found.data, window)
+    for a, b in _chunks([len(k) for k in kept]):
+        anchors = np.concatenate(kept[a:b])
+        part = np.repeat(np.arange(b - a), [len(k) for k in kept[a:b]])
+        rows = _contexts(
+            around, found.places[anchors], found.firsts[anchors], found.lasts[anchors], window
+        )
+        first, inverse = _distinct_rows(rows)
+        order = np.argsort(part[first], kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        first, which = first[order], rank[inverse]
+        least = np.full(len(first), NO_ID)
+        np.minimum.at(least, which, found.ids[anchors])
+        cuts = np.searchsorted(part[first], np.arange(b - a + 1))
+        yield listed[a:b], cuts, rows[first], least, anchors, which
+
+
 def _send_contexts(
     batches: Iterable[pa.RecordBatch], key: int, text: int, window: int, buckets: int
 ) -> Iterator[pa.RecordBatch]:
-    """Per bucket the distinct contexts of a batch, and each place where one stands."""
+    """Per bucket the distinct contexts of a batch with their least ids, and its marks.
+
+    However often a batch holds a context, it is sent once.
+    """
     for batch in batches:
-        for number, raw, marks in zip(
+        for number, raw, sent in zip(
             batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True
         ):
-            found = _distinct_hashes(_rows(raw.as_py()), key, text, window)
-            data, hashes, places, firsts, lasts, ids, starts = found
-            cuts = _cuts(hashes[starts], buckets)
-            shared = np.zeros(len(starts), bool)
-            for mark in marks.as_py():
-                cut = slice(cuts[mark["bucket"]], cuts[mark["bucket"] + 1])
-                bits = np.unpackbits(np.frombuffer(mark["blob"], np.uint8))
-                shared[cut] = bits[: cut.stop - cut.start]
-            kept = np.repeat(shared, np.diff(np.append(starts, len(hashes))))
-            hashes, places, firsts, lasts, ids = (
-                a[kept] for a in (hashes, places, firsts, lasts, ids)
-            )
-            cuts, rows = _cuts(hashes, buckets), []
-            for bucket in range(buckets):
-                cut = slice(cuts[bucket], cuts[bucket + 1])
-                if cut.start == cut.stop:
-                    continue
-                around = _contexts(data, places[cut], firsts[cut], lasts[cut], window)
-                first, inverse = _distinct_rows(around)
-                order = np.argsort(inverse, kind="stable")
-                which = np.diff(inverse[order], prepend=0).astype(np.int64)
-                blob = pack(
-                    [around[first].reshape(-1), which, places[cut][order], ids[cut][order]]
-                )
-                rows.append((bucket, number, blob))
-            if rows:
-                yield _blobs(rows)
+            found = _found(_rows(raw.as_py()), key, text, window)
+            marks = {m["bucket"]: m["blob"] for m in sent.as_py()}
+            for listed, cuts, rows, least, _, _ in _shared_contexts(found, marks, window, buckets):
+                blobs = []
+                for k, bucket in enumerate(listed):
+                    cut = slice(cuts[k], cuts[k + 1])
+                    if cut.start < cut.stop:
+                        mark = np.frombuffer(marks[bucket], np.uint8)
+                        blobs.append((bucket, number, pack([rows[cut].reshape(-1), least[cut], mark])))
+                if blobs:
+                    yield _blobs(blobs)
 
 
 # --- buckets and their refinement ------------------------------------------------------
@@ -395,63 +450,78 @@ def _removals(contexts: np.ndarray, least_id: np.ndarray, window: int) -> np.nda
     return removed
 
 
+def _live(contexts: np.ndarray, window: int) -> np.ndarray:
+    """For each context and offset, whether the context has that window."""
+    low, high = contexts[:, -2], contexts[:, -1]
+    offsets = np.arange(window - GRAM + 1)
+    return (low[:, None] <= offsets) & (offsets <= high[:, None])
+
+
 def _refine_bucket(table: pa.Table, window: int) -> pa.Table:
-    """Byte ranges to remove in each batch, from all contexts that share a bucket."""
+    """For each context sent, the windows that a smaller id than the batch's least has.
+
+    With the batch's marks, so that it can find its contexts again.
+    """
     width = 2 * window - GRAM + 2
     blobs = [unpack(b.as_py()) for b in table.column("blob")]
-    sizes = np.cumsum([0] + [len(b[0]) // width for b in blobs])
+    sizes = np.cumsum([0] + [len(b[1]) for b in blobs])
     contexts = np.concatenate([b[0] for b in blobs]).reshape(-1, width)
-    which = np.concatenate(
-        [np.cumsum(b[1]) + at for b, at in zip(blobs, sizes[:-1], strict=True)]
-    )
-    places = np.concatenate([b[2] for b in blobs])
-    ids = np.concatenate([b[3] for b in blobs])
-    batch = np.repeat(np.arange(len(blobs)), [len(b[1]) for b in blobs])
-    first, inverse = _distinct_rows(contexts)
-    contexts, which = contexts[first], inverse[which]
+    ids = np.concatenate([b[1] for b in blobs])
+    first, which = _distinct_rows(contexts)
+    contexts = contexts[first]
     least = np.full(len(first), NO_ID)
     np.minimum.at(least, which, ids)
     removed = _removals(contexts, least, window)
-    low, high = (contexts[:, c].astype(np.int64) for c in (width - 2, width - 1))
-    # later copies of a whole context lose all of its windows at once
-    later = np.flatnonzero(ids > least[which])
-    starts = [places[later] - high[which[later]]]
-    ends = [places[later] - low[which[later]] + window]
-    owners = [batch[later]]
-    some = removed.any(axis=1)
-    early = np.flatnonzero((ids == least[which]) & some[which])
-    for offset in range(removed.shape[1]):
-        hit = early[removed[which[early], offset]]
-        starts.append(places[hit] - offset)
-        ends.append(places[hit] - offset + window)
-        owners.append(batch[hit])
-    starts, ends, owners = (np.concatenate(a) for a in (starts, ends, owners))
-    order = np.lexsort((starts, owners))
-    starts, ends, owners = starts[order], ends[order], owners[order]
-    cuts = np.searchsorted(owners, np.arange(len(blobs) + 1))
+    # where another batch has the whole context under a smaller id, all of its windows go
+    gone = np.where((ids > least[which])[:, None], _live(contexts, window)[which], removed[which])
     rows = []
     for k, number in enumerate(table.column("batch_id").to_pylist()):
-        cut = slice(cuts[k], cuts[k + 1])
-        if cut.start < cut.stop:
-            steps = np.diff(starts[cut], prepend=0)
-            rows.append((0, number, pack([steps, (ends - starts)[cut]])))
+        bits = np.packbits(gone[sizes[k] : sizes[k + 1]], axis=1)
+        rows.append((table.column("bucket")[k].as_py(), number, pack([bits.reshape(-1), blobs[k][2]])))
     return pa.Table.from_batches([_blobs(rows)])
 
 
 # --- back to the documents -----------------------------------------------------------------
 
 
-def _cover(batches: Iterable[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+def _ranges(
+    found: _Found, replies: list[dict], window: int, buckets: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Starts and ends of what is to go from a batch, by what the buckets said."""
+    offsets = window - GRAM + 1
+    bits, marks = {}, {}
+    for reply in replies:
+        bits[reply["bucket"]], mark = unpack(reply["blob"])
+        marks[reply["bucket"]] = mark.tobytes()
+    for listed, _, rows, least, anchors, which in _shared_contexts(found, marks, window, buckets):
+        packed = np.concatenate([bits[b] for b in listed]).reshape(len(rows), -1)
+        gone = np.unpackbits(packed, axis=1)[:, :offsets].astype(bool)
+        whole = (gone == _live(rows, window)).all(axis=1)
+        # a context that the batch itself has under a smaller id goes whole as well
+        later = (found.ids[anchors] > least[which]) | whole[which]
+        yield found.firsts[anchors[later]], found.lasts[anchors[later]] + window
+        rest = np.flatnonzero(~later & gone.any(axis=1)[which])
+        at, offset = np.nonzero(gone[which[rest]])
+        starts = found.places[anchors[rest[at]]] - offset
+        yield starts, starts + window
+
+
+def _cover(
+    batches: Iterable[pa.RecordBatch], key: int, text: int, window: int, buckets: int
+) -> Iterator[pa.RecordBatch]:
+    """The rows of each batch with the ranges to cut from each."""
     for batch in batches:
-        for raw, blobs in zip(batch.column(0), batch.column(1), strict=True):
-            rows = _rows(raw.as_py())
-            data, ends = _texts(rows, text)
+        for raw, replies in zip(batch.column(0), batch.column(1), strict=True):
+            rows, replies = _rows(raw.as_py()), replies.as_py()
+            if replies:
+                found = _found(rows, key, text, window)
+                data, ends = found.data, found.ends
+            else:
+                data, ends = _texts(rows, text)
             steps = np.zeros(len(data) + 1, np.int64)
-            for blob in blobs.as_py() or []:
-                starts, lengths = unpack(blob)
-                starts = np.cumsum(starts)
+            for starts, stops in _ranges(found, replies, window, buckets) if replies else ():
                 np.add.at(steps, starts, 1)
-                np.add.at(steps, starts + lengths, -1)
+                np.add.at(steps, stops, -1)
             gone = np.cumsum(steps[:-1]) > 0
             before = np.concatenate(([False], gone[:-1])) if len(gone) else gone
             begins = np.concatenate(([0], ends[:-1])) if len(ends) else ends
@@ -480,8 +550,8 @@ SPANS = ArrayType(
 )
 
 
-def _batches_with_ranges(docs: DataFrame, key: int, text: int, window: int) -> DataFrame:
-    """``rows`` and ``ranges``: every batch of documents with what to cut from it."""
+def _batches_with_ranges(docs: DataFrame, key: int, text: int, window: int):
+    """Every batch of documents with what its buckets said, and the function that reads both."""
     if window < GRAM + 8 or window > 200:
         raise ValueError("window: 24 to 200 bytes")
     batches = _store_batches(plainly_named(docs), text)
@@ -489,20 +559,21 @@ def _batches_with_ranges(docs: DataFrame, key: int, text: int, window: int) -> D
     buckets = max(1, ceil(total / BUCKET_BYTES))
     where = {"key": key, "text": text, "window": window, "buckets": buckets}
 
+    def by_batch(blobs: DataFrame, name: str) -> DataFrame:
+        both = F.collect_list(F.struct("bucket", "blob"))
+        return blobs.groupBy("batch_id").agg(both.alias(name))
+
     hashes = batches.select("batch_id", "rows").mapInArrow(partial(_send_hashes, **where), BLOB)
-    marks = hashes.groupBy("bucket").applyInArrow(_mark_shared, BLOB)
-    marks = marks.groupBy("batch_id").agg(
-        F.collect_list(F.struct("bucket", "blob")).alias("marks")
-    )
+    marks = by_batch(hashes.groupBy("bucket").applyInArrow(_mark_shared, BLOB), "marks")
     marked = batches.join(marks, "batch_id").select("batch_id", "rows", "marks")
     contexts = marked.mapInArrow(partial(_send_contexts, **where), BLOB)
 
     def refine(table: pa.Table) -> pa.Table:
         return _refine_bucket(table, window)
 
-    ranges = contexts.groupBy("bucket").applyInArrow(refine, BLOB)
-    ranges = ranges.groupBy("batch_id").agg(F.collect_list("blob").alias("ranges"))
-    return batches.join(ranges, "batch_id", "left").select("rows", "ranges")
+    replies = by_batch(contexts.groupBy("bucket").applyInArrow(refine, BLOB), "replies")
+    found = batches.join(replies, "batch_id", "left").select("rows", "replies")
+    return found, partial(_cover, **where)
 
 
 def _kept(data: bytes, spans: list[dict]) -> bytes:
@@ -555,10 +626,10 @@ def mark_repeats(
             raise ValueError(f"there is a column {name!r} already")
     names, fields = docs.columns, plainly_named(docs).schema.fields
     key, text = names.index(id_column), names.index(text_column)
-    found = _batches_with_ranges(docs, key, text, window)
+    found, cover = _batches_with_ranges(docs, key, text, window)
     added = [StructField("ranges", SPANS), StructField("kept", BinaryType())]
     marked = found.mapInArrow(
-        lambda it: _without(_cover(it, text), text), StructType([*fields, *added])
+        lambda it: _without(cover(it), text), StructType([*fields, *added])
     )
     return marked.toDF(*names, into, kept)
 
@@ -584,8 +655,8 @@ def without_repeats(
     """
     names, plain = docs.columns, plainly_named(docs)
     key, text = names.index(id_column), names.index(text_column)
-    found = _batches_with_ranges(docs, key, text, window)
+    found, cover = _batches_with_ranges(docs, key, text, window)
     cut = found.mapInArrow(
-        lambda it: _as_text(_without(_cover(it, text), text), text), plain.schema
+        lambda it: _as_text(_without(cover(it), text), text), plain.schema
     )
     return cut.toDF(*names)

@@ -86,6 +86,39 @@ def test_long_texts_are_looked_at_in_parts():
     assert covered == {*range(1200 - 49), *range(1200, 5000 - 49)}
 
 
+def test_a_batch_sends_each_context_once_however_it_is_chunked(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    passage = "".join(random.Random(5).choices("abcdefgh ", k=300))
+    texts = [t for _, t in _passages()] + [passage] * 400
+    rows = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], ["id", "text"])
+    found = repeats._found(rows, 0, 1, 50)
+    buckets = 37
+    marks = {
+        bucket: np.packbits(np.ones(b - a, bool)).tobytes()
+        for bucket, a, b in repeats._parts(found.hashes[found.starts], buckets)
+    }
+
+    def contexts(at_once):
+        monkeypatch.setattr(repeats, "ANCHORS_AT_ONCE", at_once)
+        out, anchors = {}, 0
+        for listed, cuts, sent, least, at, which in repeats._shared_contexts(
+            found, marks, 50, buckets
+        ):
+            assert (least[which] <= found.ids[at]).all()
+            anchors += len(at)
+            for k, bucket in enumerate(listed):
+                cut = slice(cuts[k], cuts[k + 1])
+                out[bucket] = (sent[cut].tobytes(), least[cut].tolist())
+        assert anchors == len(found.hashes)
+        return out
+
+    whole = contexts(1 << 16)
+    assert contexts(50) == whole == contexts(1)
+    assert sum(len(ids) for _, ids in whole.values()) < len(found.hashes) / 3
+
+
 def test_odd_rows_and_names(spark):
     passage = "A passage of more than fifty bytes, which several rows hold: é."
     rows = [(1, None, 0), (None, passage, 1), (2, passage, 2), (2, passage, 3), (3, "", 4),
