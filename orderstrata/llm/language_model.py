@@ -18,6 +18,8 @@ from orderstrata.llm.common import stored
 CLASSES = 1024
 # Most frequent words, at most, of which every task holds the counts; the others' come by a join.
 LISTED_WORDS = 1 << 18
+# Bytes of a word that can be listed: what tasks hold is 64 MB at most, however long words are.
+LISTED_BYTES = 256
 # Distinct words that a task counts before it sends them on.
 COUNTED_AT_ONCE = 1 << 19
 PARTS_OF_MEANS = 64
@@ -199,7 +201,8 @@ def vocabulary(texts: DataFrame) -> tuple[DataFrame, Vocabulary]:
     partial = texts.mapInArrow(_counted, "word binary, n long")
     counts = stored(partial.groupBy("word").agg(F.sum("n").alias("c")), "counts")
     total = counts.agg(F.sum("c").alias("c"), F.count("*").alias("n")).head()
-    wanted = (F.col("c") >= _least_listed(counts)) | (F.col("word") == END)
+    frequent = F.col("c") >= _least_listed(counts)
+    wanted = (frequent & (F.octet_length("word") <= LISTED_BYTES)) | (F.col("word") == END)
     rows = [(bytes(r.word), r.c) for r in counts.where(wanted).collect()]
     rows.sort(key=lambda row: (row[0] == END, -row[1], row[0]))
     words, numbers = [w for w, _ in rows], np.array([c for _, c in rows], np.float64)
@@ -369,8 +372,9 @@ def score(
     table gives an empty one; without texts to learn from every count is 0.
 
     Counts and training cover all training texts. The counts of up to 262,144 most frequent
-    words go to every task; all other words, a row per document, meet their counts in a
-    join, so that nothing that grows with the corpus is broadcast.
+    words, but for those of over 256 bytes, go to every task; all other words, a row per
+    document, meet their counts in a join, so that nothing that grows with the corpus is
+    broadcast.
     """
     rows = docs.select(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")

@@ -81,6 +81,14 @@ def test_few_listed_words(spark, listed, monkeypatch):
     _check(spark, _grammar(40) + [(None, "no id")])
 
 
+def test_very_long_words_are_not_listed(spark):
+    long, edge = "x" * 5000, "y" * lm.LISTED_BYTES
+    rows = [(k, f"a {long} b {long}z {edge}") for k in range(30)] + [(40, long), (41, edge)]
+    _check(spark, rows)
+    _, words = lm.vocabulary(spark.createDataFrame([(t,) for _, t in rows], "text string"))
+    assert sorted(map(len, words.words)) == [0, 1, 1, lm.LISTED_BYTES]
+
+
 def test_nothing(spark):
     assert lm.score(spark.createDataFrame([], SCHEMA)).collect() == []
     only = next(d for d in range(100) if _held_out(d))
