@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
-from functools import reduce
 from math import ceil
 
 import numpy as np
@@ -13,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orderstrata.llm.common import new_folder
+
 # Text of the items that are searched for in one pass over the documents.
 PASS_BYTES = 4 << 20
 WORDS_AT_ONCE = 1 << 18
@@ -94,14 +95,16 @@ class Index:
                 candidates.update(k for h in hits.tolist() for k in self.owners[h])
         if not candidates:
             return
-        listed = ids.tolist()
-        held = {
-            width: {t for t in zip(*(listed[k:] for k in range(width)), strict=False) if 0 not in t}
-            for width in widths
-        }
+        wanted = frozenset().union(*(self.items[k][1] for k in candidates))
+        held: set[tuple[int, ...]] = set()
+        for width in {len(t) for t in wanted}:
+            for at in range(0, max(0, len(ids) - width + 1), WORDS_AT_ONCE):
+                listed = ids[at : at + WORDS_AT_ONCE + width - 1].tolist()
+                runs = zip(*(listed[k:] for k in range(width)), strict=False)
+                held.update(wanted.intersection(runs))
         for k in sorted(candidates):
             item_id, shingles = self.items[k]
-            shared = len(shingles & held[len(next(iter(shingles)))])
+            shared = len(shingles & held)
             if shared >= self.share * len(shingles) - 1e-9:
                 yield item_id, len(shingles), shared
 
@@ -143,8 +146,10 @@ def leaks(
     no part. An empty table on either side gives an empty result.
 
     No document is shuffled. The items, of which their total size is counted first, are
-    taken in blocks of at most four megabytes of text, one pass over the documents for
+    taken in blocks of about four megabytes of text, one pass over the documents for
     each, so that what a task holds of them is bounded whatever the benchmark's size.
+    Of several blocks each one's result is written to the shared folder before the next
+    is read, so that the driver holds one block as well.
     """
     items = benchmark.select(
         F.col(item_column).cast("long").alias("item_id"),
@@ -162,4 +167,9 @@ def leaks(
         listed = [(r.item_id, r.text) for r in items.where(spread == number).collect()]
         return rows.mapInArrow(lambda it: _search(it, listed, width, share), LEAKS)
 
-    return reduce(DataFrame.unionAll, [one_pass(k) for k in range(passes)])
+    if passes == 1:
+        return one_pass(0)
+    path = new_folder(docs.sparkSession, "leaks")
+    for number in range(passes):
+        one_pass(number).write.mode("append").parquet(path)
+    return docs.sparkSession.read.schema(LEAKS).parquet(path)
