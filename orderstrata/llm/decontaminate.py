@@ -49,6 +49,7 @@ class Index:
             for _, shingle in hashes[: int((1 - share) * most + 1e-9) + 1]:
                 sketches[self._code(shingle)].append(len(self.items))
             self.items.append((item_id, shingles))
+        self.widths = sorted({len(s) for _, shingles in self.items for s in shingles})
         self.codes = np.array(sorted(sketches), np.uint64)
         self.owners = [sketches[c] for c in self.codes.tolist()]
 
@@ -84,9 +85,7 @@ class Index:
         get = self.words.get
         ids = np.fromiter((get(w, 0) for w in words), np.uint64, len(words))
         candidates: set[int] = set()
-        widths = {self.width} if len(self.items) else set()
-        widths |= {len(s) for _, shingles in self.items for s in shingles if len(s) < self.width}
-        for width in widths:
+        for width in self.widths:
             for at in range(0, max(0, len(ids) - width + 1), WORDS_AT_ONCE):
                 codes = self._codes(ids[at : at + WORDS_AT_ONCE + width - 1], width)
                 at_code = np.searchsorted(self.codes, codes)
