@@ -19,8 +19,9 @@ from tokenizers import Tokenizer
 
 # Documents are packed together until they hold this many tokens: the memory of a task.
 GROUP_TOKENS = 1 << 21
-# Longer texts go to the second tokenizer, which takes any length.
-LONGEST_TEXT = 1 << 20
+# Longer texts go to the second tokenizer, which takes any length; the first one fails on a
+# run of a million blanks.
+LONGEST_TEXT = 1 << 19
 SPECIAL = "<|endoftext|>"
 
 PIECES = (
@@ -44,8 +45,7 @@ class Ids:
     """Token ids of a text by a byte-level vocabulary, the end id after them.
 
     The vocabulary's rank file gives the ids; ``tokenizer`` is the same vocabulary for
-    the ``tokenizers`` library and gives them for very long texts and where the first
-    library gives up.
+    the ``tokenizers`` library and gives them for very long texts.
     """
 
     def __init__(self, ranks: str, tokenizer: str, special_id: int, end_id: int):

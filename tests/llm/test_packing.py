@@ -43,6 +43,18 @@ def test_costs_are_balanced():
     assert max(totals.values()) - min(totals.values()) < 1e-9
 
 
+def test_very_long_runs():
+    path = public_tokenizers.path
+    tokenizer = path("byte_bpe_50k.json")
+    ids = packing.Ids(path("byte_bpe_50k.tiktoken"), tokenizer, 50256, 1)
+    whole = Tokenizer.from_file(tokenizer)
+    for piece in (" ", "\n", "x", "7", "!?", "<|endoftext|>"):
+        for size in (packing.LONGEST_TEXT, 1_048_000):
+            text = piece * (size // len(piece))
+            expected = whole.encode(text, add_special_tokens=False).ids
+            assert ids.of(text).tolist() == [*expected, 1]
+
+
 def test_documents(spark):
     rng = random.Random(5)
     words = ["tree", "Haus", "été", "  ", "\n", "123", "<|endoftext|>", "'ll", "!?", "𝄞", "‍"]
