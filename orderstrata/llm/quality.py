@@ -17,10 +17,13 @@ from orderstrata.llm.common import stored
 # Labelled documents that the classifier is fitted on, at most; chosen by hash.
 FITTED_AT_MOST = 10_000
 BUCKETS = 1 << 24
-# Documents of the fit that must hold a word before it counts.
+# Bytes of a part of a word, and bytes of a text whose parts are listed at a time.
+GRAM = 5
+BYTES_AT_ONCE = 1 << 20
+# Documents of the fit that must hold a word or a part before it counts.
 LEAST_DOCUMENTS = 5
-# Words of a label's classifier: so many standard deviations off what chance gives, the
-# farthest ones if there are more.
+# Words and parts of a label's classifier: so many standard deviations off what chance
+# gives, the farthest ones if there are more.
 LEAST_Z = 4.5
 WORDS_AT_MOST = 512
 RIDGE = 0.5
@@ -29,16 +32,37 @@ ROWS_AT_ONCE = 1024
 MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 EVIDENCE = "good double, toxic double"
 STATISTICS = 9
+LABELS = ("quality", "toxic")
+FEATURED = "buckets binary, statistics binary, quality int, toxic int"
+HELD = "quality_held binary, toxic_held binary, statistics binary, quality int, toxic int"
 
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 
+def _parts(words: list[bytes]) -> np.ndarray:
+    """Buckets of the runs of five bytes in words, a blank before and after each word."""
+    spaced = np.frombuffer(b" ".join([b"", *words, b""]), np.uint8)
+    found = [np.empty(0, np.int64)]
+    for at in range(0, len(spaced) - GRAM + 1, BYTES_AT_ONCE):
+        cut = spaced[at : at + BYTES_AT_ONCE + GRAM - 1]
+        count = len(cut) - GRAM + 1
+        value, whole = np.zeros(count, np.uint64), np.ones(count, bool)
+        for k in range(GRAM):
+            value = (value << np.uint64(8)) | cut[k : k + count]
+            if 0 < k < GRAM - 1:
+                whole &= cut[k : k + count] != 32
+        spread = np.unique(value[whole]) * np.uint64(0x9E3779B97F4A7C15)
+        found.append((spread >> np.uint64(40)).astype(np.int64))
+    return np.concatenate(found)
+
+
 def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the distinct words, and statistics of the whole text."""
+    """Buckets of the distinct words and parts of words, and statistics of the whole text."""
     plain = text.lower()
     words = _WORD.findall(plain)
     distinct = set(words)
     buckets = np.fromiter((zlib.crc32(w) % BUCKETS for w in distinct), np.int64, len(distinct))
+    buckets = np.concatenate((buckets, _parts(words)))
     tokens = plain.split()
     size, count = max(1, len(text)), max(1, len(tokens))
     letters = len(text) - len(text.translate(None, bytes(range(65, 91))))
@@ -65,7 +89,7 @@ def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Head:
-    """Logistic regression for one label: words that are there, and standardised statistics."""
+    """Logistic regression for one label: words and parts that are there, and statistics."""
 
     buckets: np.ndarray
     words: np.ndarray
@@ -75,44 +99,34 @@ class Head:
     odds: float
 
     def chance(self, buckets: np.ndarray, statistics: np.ndarray) -> float:
-        held = self.words[np.isin(self.buckets, buckets, assume_unique=True)].sum()
+        held = self.words[_held_of(self.buckets, buckets)].sum()
         z = np.clip((statistics - self.means) / self.scales, -5, 5)
         return 1 / (1 + np.exp(-np.clip(self.odds + held + z @ self.statistics, -30, 30)))
 
 
-def _telling(flat: np.ndarray, marked: np.ndarray, share: float, count: int) -> np.ndarray:
-    """Buckets that go with the label, or against it, by far more than chance allows."""
-    buckets, place = np.unique(flat, return_inverse=True)
-    n = np.bincount(place)
-    expected = n * share
-    deviation = np.sqrt(np.maximum(n * share * (1 - share) * (1 - n / count), 1e-9))
-    z = np.abs(np.bincount(place, marked, len(buckets)) - expected) / deviation
-    z[n < LEAST_DOCUMENTS] = 0
-    most = np.lexsort((buckets, -z))[:WORDS_AT_MOST]
-    return np.sort(buckets[most[z[most] >= LEAST_Z]])
+def _held_of(wanted: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+    """For each wanted bucket whether it is among a document's sorted ones."""
+    if not len(buckets):
+        return np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(buckets, wanted), len(buckets) - 1)
+    return buckets[at] == wanted
 
 
 def _fitted(
-    buckets: list[np.ndarray], statistics: np.ndarray, labels: np.ndarray, unknown: float
+    chosen: np.ndarray, held: np.ndarray, statistics: np.ndarray, labels: np.ndarray, unknown: float
 ) -> Head:
     """Newton's method with a ridge penalty on words and statistics.
 
-    Without labels every document has the log odds ``unknown``.
+    ``held`` says which documents hold which of the chosen buckets. Without labels every
+    document has the log odds ``unknown``.
     """
     count = len(labels)
     if not count:
-        none = np.empty(0)
         zeros, ones = np.zeros(STATISTICS), np.ones(STATISTICS)
-        return Head(none, none, zeros, zeros, ones, unknown)
+        return Head(np.empty(0, np.int32), np.empty(0), zeros, zeros, ones, unknown)
     means, scales = statistics.mean(axis=0), statistics.std(axis=0) + 1e-6
-    owner = np.repeat(np.arange(count), [len(b) for b in buckets])
-    flat = np.concatenate(buckets)
-    chosen = _telling(flat, labels[owner], labels.mean(), count)
-    place = np.searchsorted(chosen, flat)
-    place[place == len(chosen)] = 0
-    hit = chosen[place] == flat if len(chosen) else np.zeros(len(flat), bool)
     x = np.zeros((count, len(chosen) + STATISTICS + 1), np.float32)
-    x[owner[hit], place[hit]] = 1
+    x[:, : len(chosen)] = held
     x[:, len(chosen) : -1] = np.clip((statistics - means) / scales, -5, 5)
     x[:, -1] = 1
     penalty = np.full(x.shape[1], RIDGE)
@@ -131,19 +145,6 @@ def _fitted(
     return Head(chosen, w[: len(chosen)], w[len(chosen) : -1], means, scales, float(w[-1]))
 
 
-def fit(rows: list[tuple[bytes, bytes, int, int]]) -> tuple[Head, Head]:
-    """Heads for quality and for toxicity, from buckets, statistics and labels (-1: none)."""
-    heads = []
-    # without labels all count as good, none as toxic
-    for label, unknown in ((2, 30.0), (3, -30.0)):
-        known = [r for r in rows if r[label] >= 0]
-        statistics = np.array([np.frombuffer(r[1], "<f8") for r in known])
-        labels = np.array([min(r[label], 1) for r in known], np.float64)
-        buckets = [np.frombuffer(r[0], "<i4") for r in known]
-        heads.append(_fitted(buckets, statistics.reshape(-1, STATISTICS), labels, unknown))
-    return heads[0], heads[1]
-
-
 def _featured(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         both = [features(t.as_py() or b"") for t in batch.column(0).cast(pa.binary())]
@@ -158,15 +159,80 @@ def _featured(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _tallied(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each bucket the documents that hold it, and those of them with the label."""
+    for batch in batches:
+        lists = [np.frombuffer(b.as_py(), "<i4") for b in batch.column(0)]
+        marked = batch.column(1).to_numpy(zero_copy_only=False) > 0
+        flat = np.concatenate([np.empty(0, np.int32), *lists])
+        buckets, place = np.unique(flat, return_inverse=True)
+        owner = np.repeat(marked, [len(b) for b in lists])
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(buckets, pa.int32()),
+                pa.array(np.bincount(place, minlength=len(buckets)), pa.int64()),
+                pa.array(np.bincount(place, owner, len(buckets)).astype(np.int64), pa.int64()),
+            ],
+            ["bucket", "n", "marked"],
+        )
+
+
+def _telling(given: DataFrame, label: str) -> np.ndarray:
+    """Buckets that go with the label, or against it, by far more than chance allows."""
+    known = given.where(F.col(label) >= 0).select("buckets", label)
+    total = known.agg(F.count("*").alias("n"), F.count_if(F.col(label) > 0).alias("m")).head()
+    if not total.n:
+        return np.empty(0, np.int32)
+    share, n = total.m / total.n, F.col("n")
+    tallies = known.mapInArrow(_tallied, "bucket int, n long, marked long")
+    tallies = tallies.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("marked").alias("marked"))
+    chance = F.sqrt(F.greatest(n * (share * (1 - share)) * (1 - n / total.n), F.lit(1e-9)))
+    z = F.abs(F.col("marked") - n * share) / chance
+    far = tallies.where(n >= LEAST_DOCUMENTS).withColumn("z", z).where(F.col("z") >= LEAST_Z)
+    most = far.orderBy(F.desc("z"), "bucket").limit(WORDS_AT_MOST).collect()
+    return np.sort(np.array([r.bucket for r in most], np.int32))
+
+
+def _held(
+    batches: Iterable[pa.RecordBatch], chosen: dict[str, np.ndarray]
+) -> Iterator[pa.RecordBatch]:
+    """In place of its buckets, which of the chosen ones a document holds, as bits."""
+    for batch in batches:
+        lists = [np.frombuffer(b.as_py(), "<i4") for b in batch.column(0)]
+        bits = [
+            pa.array([np.packbits(_held_of(chosen[c], b)).tobytes() for b in lists], pa.binary())
+            for c in LABELS
+        ]
+        yield pa.RecordBatch.from_arrays(
+            [*bits, *batch.columns[1:]], [f.split()[0] for f in HELD.split(", ")]
+        )
+
+
 def train(docs: DataFrame, labels: DataFrame) -> tuple[Head, Head]:
-    """Fits on at most 10,000 labelled documents; the texts stay in the tasks.
+    """Heads for quality and toxicity, fitted on at most 10,000 labelled documents.
 
-    Three numbers for each of them are broadcast: a quarter of a megabyte, whatever the corpus.
+    Their features are written to the shared folder; tasks count in how many each word or
+    part stands. Three numbers for each document are broadcast, and 64 bytes a head and
+    its statistics come to the driver, whatever the corpus.
     """
     sample = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FITTED_AT_MOST)
-    given = docs.join(F.broadcast(sample), "doc_id").select("text", "quality", "toxic")
-    schema = "buckets binary, statistics binary, quality int, toxic int"
-    return fit([tuple(r) for r in given.mapInArrow(_featured, schema).collect()])
+    given = docs.join(F.broadcast(sample), "doc_id").select("text", *LABELS)
+    given = stored(given.mapInArrow(_featured, FEATURED), "sample")
+    chosen = {label: _telling(given, label) for label in LABELS}
+    rows = given.mapInArrow(lambda it: _held(it, chosen), HELD).collect()
+    heads = []
+    # without labels all count as good, none as toxic
+    for label, unknown in zip(LABELS, (30.0, -30.0), strict=True):
+        known = [r for r in rows if r[label] >= 0]
+        size = len(chosen[label])
+        bits = np.frombuffer(b"".join(r[f"{label}_held"] for r in known), np.uint8)
+        held = np.unpackbits(bits.reshape(len(known), (size + 7) // 8), axis=1)[:, :size]
+        statistics = np.frombuffer(b"".join(r.statistics for r in known), "<f8")
+        marked = np.array([min(r[label], 1) for r in known], np.float64)
+        heads.append(
+            _fitted(chosen[label], held, statistics.reshape(-1, STATISTICS), marked, unknown)
+        )
+    return heads[0], heads[1]
 
 
 def _weighed(
@@ -233,9 +299,9 @@ def judge(
     NULL texts count as empty; NULL hosts and paths are hosts and paths like others, NULL ids
     are passed on; rows that repeat an id are judged each for itself. Labels of unknown
     documents are ignored; of a document labelled twice each row counts. Without labels
-    of a kind every document passes for good by it. Other columns play no part. An empty table gives an empty
-    one. What is shuffled holds no text, and sites are summed in the tasks first, so
-    that a host with most documents is no hot spot.
+    of a kind every document passes for good by it. Other columns play no part. An empty
+    table gives an empty one. What is shuffled holds no text, and sites are summed in the
+    tasks first, so that a host with most documents is no hot spot.
     """
     host = F.col(host) if isinstance(host, str) else host
     path = F.col(path) if isinstance(path, str) else path
