@@ -141,19 +141,22 @@ def near_duplicates(
     Documents whose fingerprints differ in at most ``distance`` bits are linked;
     ``component_id`` is the smallest id that can be reached over links. Equal
     fingerprints meet once, as one class, before any pair is looked for. A row without
-    an id belongs to its component like any other, but lends it no id: a component
-    without ids has the id NULL. Rows that repeat an id are each given a row. Other
-    columns play no part. An empty table gives an empty one.
+    an id belongs to its component like any other, and links others, but lends it no id:
+    a component without ids has the id NULL. Rows that repeat an id are each given a row.
+    Other columns play no part. An empty table gives an empty one.
     """
     prints = stored(fingerprints(docs, id_column, text_column, shingle), "prints")
     # stored, so that the join below meets a print that very many rows share unsummed,
     # and the skew join can split it
-    classes = prints.groupBy("print").agg(F.min("doc_id").alias("id"))
-    classes = stored(classes.where("id IS NOT NULL"), "classes")
-    roots = component_roots(links(classes, distance))
-    rooted = classes.join(roots, classes.id == roots.node, "left").select(
-        "print", F.coalesce("root", "id").alias("component_id")
+    classes = stored(prints.groupBy("print").agg(F.min("doc_id").alias("id")), "classes")
+    # prints are linked, not ids, as some have none
+    roots = component_roots(links(classes.select(F.col("print").alias("id"), "print"), distance))
+    reached = classes.join(roots, classes["print"] == roots["node"], "left").select(
+        "print", "id", F.coalesce("root", "print").alias("root")
     )
+    # stored, for the skew join to split a large component
+    least = stored(reached.groupBy("root").agg(F.min("id").alias("component_id")), "components")
+    rooted = reached.join(least, "root").select("print", "component_id")
     named = prints.join(rooted, "print", "left")
     text = F.lower(F.lpad(F.hex("print"), 16, "0"))
     return named.select("doc_id", text.alias("fingerprint"), "component_id")

@@ -72,6 +72,20 @@ def test_no_rows_and_no_ids(spark):
     assert sorted(rows, key=repr) == sorted([(None, None), (None, None), (None, 3), (3, 3)], key=repr)
 
 
+@pytest.mark.parametrize("distance", [1, 2])
+def test_row_without_id_links_others(spark, distance, monkeypatch):
+    """A chain of prints so far apart, every other one of a row without an id."""
+    bits = [0, (1 << distance) - 1, (1 << 2 * distance) - 1, (1 << 3 * distance) - 1, 15 << 60]
+    rows = list(zip([8, None, 5, None, 4], bits, strict=True)) + [(None, 15 << 40)]
+    signed = [(i, int(np.uint64(p).astype(np.int64))) for i, p in rows]
+    prints = spark.createDataFrame(signed, "doc_id long, print long")
+    monkeypatch.setattr(simhash, "fingerprints", lambda *_: prints)
+    found = simhash.near_duplicates(prints, distance=distance)
+    got = sorted((r.fingerprint, r.doc_id, r.component_id) for r in found.collect())
+    near = {p: 5 for p in bits[:4]} | {15 << 60: 4, 15 << 40: None}
+    assert got == sorted((f"{p:016x}", i, near[p]) for i, p in rows)
+
+
 @pytest.mark.parametrize("distance,compared", [(1, 2), (2, 2), (2, 64), (3, 2)])
 def test_links_lose_no_pair(spark, distance, compared, monkeypatch):
     """Crowded keys and others give the same components as all pairs."""
