@@ -11,28 +11,40 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderstrata.llm import decontaminate, packing, quality, repeats, simhash
-from orderstrata.llm.common import new_folder
+from orderstrata.llm.common import new_folder, stored, unused_name
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` whose id is not listed; those without an id stay."""
-    listed = ids.select(F.col("doc_id").alias("listed")).where("listed IS NOT NULL").distinct()
-    return docs.join(listed, docs["doc_id"] == listed["listed"], "left_anti")
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a number of its own for each row, written, and the number's name."""
+    row = unused_name(docs, "row")
+    return stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
+
+
+def _without(docs: DataFrame, row: str, rows: DataFrame) -> DataFrame:
+    """``docs`` but for the listed rows, and without the numbers."""
+    listed = rows.toDF("listed").distinct()
+    return docs.join(listed, docs[row] == listed["listed"], "left_anti").drop(row)
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier keeps. Rows that repeat an id stay or go together."""
+    """Rows that the classifier keeps, each judged for itself."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return _without(docs, quality.judge(docs, labels).where("NOT keep"))
+    docs, row = _numbered(docs)
+    judged = quality.judge(docs, labels, row_column=row)
+    return _without(docs, row, judged.where("NOT keep").select(row))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group the document with the smallest id; of equal rows one."""
-    groups = simhash.near_duplicates(docs, shingle=3, distance=2)
-    first = groups.where("doc_id <=> component_id")
-    first = first.select(F.col("doc_id").alias("first_id")).distinct()
-    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["first_id"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"])
+    """Of each group one row: the smallest id, none last; of one id the least by its text's hash."""
+    docs, row = _numbered(docs)
+    groups = simhash.near_duplicates(docs, id_column=row, shingle=3, distance=2)
+    groups = groups.select(F.col("doc_id").alias("member"), "component_id")
+    order = [F.col("doc_id").isNull(), F.col("doc_id"), F.xxhash64("text"), F.col(row)]
+    ranks = docs.select(F.struct(*[c.alias(f"c{k}") for k, c in enumerate(order)]).alias("rank"))
+    met = ranks.join(groups, ranks["rank.c3"] == groups["member"])
+    first = met.groupBy("component_id").agg(F.min("rank").alias("rank"))
+    first = first.select(F.col("rank.c3").alias("first"))
+    return docs.join(first, docs[row] == first["first"], "left_semi").drop(row)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,9 +55,11 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Rows that hold no benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _without(docs, decontaminate.leaks(docs, benchmark))
+    docs, row = _numbered(docs)
+    leaking = decontaminate.leaks(docs, benchmark, id_column=row)
+    return _without(docs, row, leaking.select("doc_id"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

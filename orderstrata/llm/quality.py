@@ -240,13 +240,13 @@ def _weighed(
 ) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         chances = []
-        for text in batch.column(3).cast(pa.binary()):
+        for text in batch.columns[-1].cast(pa.binary()):
             both = features(text.as_py() or b"")
             chances.append((quality.chance(*both), toxic.chance(*both)))
         good, bad = np.array(chances).reshape(-1, 2).T
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:3], pa.array(good), pa.array(bad)],
-            ["doc_id", "host", "path", "good", "toxic"],
+            [*batch.columns[:-1], pa.array(good), pa.array(bad)],
+            [*batch.schema.names[:-1], "good", "toxic"],
         )
 
 
@@ -281,13 +281,15 @@ def judge(
     host: str | Column = "source",
     path: str | Column = "lang",
     threshold: float = 0.5,
+    row_column: str | None = None,
 ) -> DataFrame:
     """Each document's probability of being good, and whether to keep it.
 
     ``labels`` holds ``doc_id``, ``quality`` and ``toxic`` (0, 1 or NULL). Good is a
     document of quality that isn't toxic. Columns: ``doc_id``, ``host``, ``path``,
     ``good`` and ``toxic`` (by the classifier alone), ``site`` (the site's share of good
-    documents, this one left out), ``posterior``, ``keep``.
+    documents, this one left out), ``posterior``, ``keep``; last ``row_column``, a long that
+    tells rows apart, if one is named.
 
     The classifier is fitted on a bounded sample of labelled documents and applied to all.
     A site is a path of a host. Its share of good documents is taken from all of its
@@ -309,15 +311,18 @@ def judge(
         F.col(id_column).cast("long").alias("doc_id"),
         host.cast("string").alias("host"),
         path.cast("string").alias("path"),
+        *[F.col(c).cast("long").alias("row") for c in [row_column] if c],
         F.col(text_column).alias("text"),
     )
     number = [F.coalesce(F.col(c).cast("int"), F.lit(-1)).alias(c) for c in ("quality", "toxic")]
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), *number)
     quality, toxic = train(rows.select("doc_id", "text"), known)
-    schema = f"doc_id long, host string, path string, {EVIDENCE}"
+    row = "row long, " if row_column else ""
+    schema = f"doc_id long, host string, path string, {row}{EVIDENCE}"
     weighed = rows.mapInArrow(lambda it: _weighed(it, quality, toxic), schema)
     evidence = stored(weighed.withColumn("fine", F.expr("good * (1 - toxic)")), "evidence")
-    return _with_sites(evidence, threshold)
+    judged = _with_sites(evidence, threshold)
+    return judged.withColumnRenamed("row", row_column) if row_column else judged
 
 
 def _with_sites(evidence: DataFrame, threshold: float) -> DataFrame:
@@ -346,5 +351,10 @@ def _with_sites(evidence: DataFrame, threshold: float) -> DataFrame:
     joined = evidence.join(near, same).withColumn("site", others)
     log_odds = _logit(F.col("fine")) - _logit(F.lit(overall)) + _logit(F.col("site"))
     posterior = (1 / (1 + F.exp(-log_odds))).alias("posterior")
-    judged = joined.select("doc_id", "host", "path", "good", "toxic", "site", posterior)
-    return judged.withColumn("keep", F.col("posterior") >= threshold - 1e-9)
+    judged = joined.select(
+        "doc_id", "host", "path", "good", "toxic", "site", posterior,
+        *[c for c in evidence.columns if c == "row"],
+    )
+    keep = F.col("posterior") >= threshold - 1e-9
+    columns = ["doc_id", "host", "path", "good", "toxic", "site", "posterior"]
+    return judged.select(*columns, keep.alias("keep"), *judged.columns[len(columns) :])

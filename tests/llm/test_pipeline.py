@@ -46,6 +46,56 @@ def test_one_of_each_group_stays(spark):
     assert "alone, without id" in {r.text for r in kept.where("doc_id IS NULL").collect()}
 
 
+def test_one_row_of_each_group_stays_whatever_its_id(spark):
+    texts = [
+        (4, "the same words here"), (None, "the same words here"), (None, "The same  words here"),
+        (None, "alone, without id"), (None, "alone,  without id"), (4, "another text of this id"),
+        (3, "another text of  this id"), (3, "one more text altogether"),
+    ]
+    given = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in texts], SCHEMA)
+    kept = corpus_pipeline.drop_near_duplicates(spark, given, SF_DIR).collect()
+    found = sorted(((r.doc_id, " ".join(r.text.lower().split())) for r in kept), key=repr)
+    assert found == [
+        (3, "another text of this id"), (3, "one more text altogether"),
+        (4, "the same words here"), (None, "alone, without id"),
+    ]
+
+
+def test_rows_are_judged_one_by_one(spark, docs, monkeypatch):
+    """Rows of good and poor texts, without ids or of one id, by the row's own verdict."""
+    from pyspark.sql import functions as F
+
+    from orderstrata.llm import quality
+
+    real = quality.judge
+
+    def judge(given, labels, **options):
+        judged = real(given, labels, **options)
+        texts = given.select(F.col("row").alias("r"), "text")
+        poor = judged.join(texts, judged["row"] == texts["r"]).withColumn(
+            "keep", ~F.col("text").startswith("poor")
+        )
+        return poor.select(*judged.columns)
+
+    monkeypatch.setattr(quality, "judge", judge)
+    given = spark.createDataFrame(
+        [(k, t, "en", "s", len(t)) for k in (None, 7) for t in ("poor text", "good text")], SCHEMA
+    )
+    kept = corpus_pipeline.classify_quality(spark, given, SF_DIR)
+    assert kept.columns == given.columns
+    assert {(r.doc_id, r.text) for r in kept.collect()} == {(None, "good text"), (7, "good text")}
+
+
+def test_leaking_rows_go_one_by_one(spark):
+    item = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").head().text
+    given = spark.createDataFrame(
+        [(k, t, "en", "s", len(t)) for k in (None, 7) for t in (f"Before. {item} After.", "clean")],
+        SCHEMA,
+    )
+    kept = corpus_pipeline.drop_leaks(spark, given, SF_DIR).collect()
+    assert {(r.doc_id, r.text) for r in kept} == {(None, "clean"), (7, "clean")}
+
+
 def test_repeats_are_cut(spark):
     passage = "a passage of considerably more than fifty bytes, é, in several texts"
     given = spark.createDataFrame(
