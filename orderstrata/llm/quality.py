@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderstrata.llm.common import stored
@@ -208,6 +208,17 @@ def _held(
         )
 
 
+def _sampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """At most 10,000 labels of documents at hand: one of each id, by hash, before any second."""
+    ids = docs.select(F.col("doc_id").alias("at_hand"))
+    known = labels.where(" OR ".join(f"{c} >= 0" for c in LABELS))
+    known = known.join(ids, known["doc_id"] == ids["at_hand"], "left_semi")
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(*LABELS))
+    known = known.withColumn("nth", nth).where(F.col("nth") <= FITTED_AT_MOST)
+    ordered = known.orderBy("nth", F.xxhash64("doc_id"), "doc_id")
+    return ordered.limit(FITTED_AT_MOST).drop("nth")
+
+
 def train(docs: DataFrame, labels: DataFrame) -> tuple[Head, Head]:
     """Heads for quality and toxicity, fitted on at most 10,000 labelled documents.
 
@@ -215,8 +226,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[Head, Head]:
     part stands. Three numbers for each document are broadcast, and 64 bytes a head and
     its statistics come to the driver, whatever the corpus.
     """
-    sample = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FITTED_AT_MOST)
-    given = docs.join(F.broadcast(sample), "doc_id").select("text", *LABELS)
+    given = docs.join(F.broadcast(_sampled(docs, labels)), "doc_id").select("text", *LABELS)
     given = stored(given.mapInArrow(_featured, FEATURED), "sample")
     chosen = {label: _telling(given, label) for label in LABELS}
     rows = given.mapInArrow(lambda it: _held(it, chosen), HELD).collect()
@@ -300,7 +310,8 @@ def judge(
 
     NULL texts count as empty; NULL hosts and paths are hosts and paths like others, NULL ids
     are passed on; rows that repeat an id are judged each for itself. Labels of unknown
-    documents are ignored; of a document labelled twice each row counts. Without labels
+    documents and rows without any are ignored before the sample is taken; of a document
+    labelled twice each row counts, once every labelled document has its first. Without labels
     of a kind every document passes for good by it. Other columns play no part. An empty
     table gives an empty one. What is shuffled holds no text, and sites are summed in the
     tasks first, so that a host with most documents is no hot spot.

@@ -99,3 +99,24 @@ def test_odd_rows(spark):
     some = spark.createDataFrame([(1, 1, None), (2, None, 0), (2, 0, 0), (9, 0, 1)], labels.schema)
     assert quality.judge(docs, some).count() == 4
     assert quality.judge(docs.limit(0), some).collect() == []
+
+
+def test_sample_holds_documents_at_hand(spark, monkeypatch):
+    """Labels of others, empty ones and repeats don't use up the bounded sample."""
+    monkeypatch.setattr(quality, "FITTED_AT_MOST", 100)
+    texts = ["fine words of a good text", "spam spam buy now cheap"]
+    docs = spark.createDataFrame(
+        [(k, f"{texts[k % 2]} {k}", "s", "en") for k in range(100)],
+        "doc_id long, text string, source string, lang string",
+    )
+    labels = [(k, 1 - k % 2, 0) for k in range(100)]
+    labels += [(3, 0, 0)] * 3000 + [(k, None, None) for k in range(100)] * 3
+    labels += [(k, k % 2, 0) for k in range(1000, 6000)]
+    given = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    seen = []
+    real = quality._telling
+    monkeypatch.setattr(quality, "_telling", lambda f, c: seen.append(f.collect()) or real(f, c))
+    found = {r.doc_id: r.good for r in quality.judge(docs, given).collect()}
+    assert [len(rows) for rows in seen] == [100, 100]
+    assert sum(r.quality for r in seen[0]) == 50
+    assert all((found[k] > 0.5) == (k % 2 == 0) for k in range(100))
