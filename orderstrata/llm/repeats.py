@@ -5,8 +5,8 @@ corpus. So the suffixes to sort are chosen by content. Of the 16-byte grams of a
 50-byte string the one with the least hash is its anchor; equal strings have their
 anchors at equal places. Only anchors whose gram is found in two documents or more go
 on, each with the bytes of the strings it stands for, and one task gets all that share
-a gram: its bucket. There the buckets are refined by sorting on the identifiers of the
-grams at later offsets, each step from the buckets of the step before, until sorting
+a gram: its bucket. There the buckets are refined by sorting on the raw bytes at later
+offsets, eight at a time, each step from the buckets of the step before, until sorting
 order and common prefixes give the bucket of every string.
 """
 
@@ -369,7 +369,7 @@ def _grams_at(rows: np.ndarray, at: int) -> np.ndarray:
 
 
 def _refined(buckets: np.ndarray, later: np.ndarray) -> np.ndarray:
-    """Buckets split by the identifiers at a later offset; single ones stay as they are."""
+    """Buckets split by the bytes at a later offset; single ones stay as they are."""
     order = np.lexsort((later, buckets))
     b, l = buckets[order], later[order]
     steps = np.concatenate(([False], (b[1:] != b[:-1]) | (l[1:] != l[:-1])))
