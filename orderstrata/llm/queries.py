@@ -15,8 +15,11 @@ from orderstrata.llm import (
     packing,
     quality,
     repeats,
+    search,
     simhash,
+    trie,
 )
+from orderstrata.llm.common import stored
 
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
@@ -93,6 +96,32 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive.archived_pages(load(spark, sf_dir, "pages"))
 
 
+def _sharing_heads(marks: DataFrame) -> DataFrame:
+    """Conversations that begin with up to three turns of the one that heads their twenty."""
+    conv = F.col("conv_id")
+    taken = F.crc32(conv.cast("string").cast("binary")) % 4
+    convs = marks.where("place = 1").select(
+        "conv_id", (conv - conv % 20).alias("head"), taken.alias("taken")
+    )
+    heads = marks.where("place <= 3").withColumnRenamed("conv_id", "head")
+    shared = convs.join(heads, "head").where("place <= taken").drop("head", "taken")
+    own = marks.where(F.col("place") > taken)
+    # one without any turn is still there
+    empty = convs.selectExpr("conv_id", "NULL AS place", "NULL AS mark", "NULL AS words")
+    return shared.unionByName(own).unionByName(empty)
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tree of all conversations, each rebuilt on turns of another."""
+    marks = stored(trie.turn_marks(load(spark, sf_dir, "conversations")), "marks")
+    return trie.prefix_tree(_sharing_heads(marks))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for each benchmark item."""
+    return search.ranked(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -106,5 +135,7 @@ QUERIES = {
         op8_license_scan,
         op9_simhash,
         op10_warc,
+        op11_prefix_trie,
+        op13_ranked_search,
     )
 }

@@ -116,10 +116,97 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
 FROM held
 """
 
+# The check sum of a decimal number, bit by bit; DuckDB has no function for it.
+_CRC32 = """xor(4294967295, list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(string_split({0}::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+    lambda crc, byte: list_reduce(
+        list_concat([xor(crc, byte)], range(8)),
+        lambda v, _: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)))"""
+
+_TRIE = f"""
+WITH turns AS (
+    SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+        role, sha256(length(role)::VARCHAR || ':' || role || text)) AS place
+    FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+          FROM conversations WHERE conv_id IS NOT NULL)
+),
+convs AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS head, {_CRC32.format("conv_id")} % 4 AS taken
+    FROM (SELECT DISTINCT conv_id FROM turns)
+),
+rebuilt AS (
+    SELECT c.conv_id, place, role, text FROM convs c JOIN turns t ON t.conv_id = head AND place <= taken
+    UNION ALL SELECT conv_id, place, role, text FROM turns JOIN convs USING (conv_id) WHERE place > taken
+),
+paths AS (
+    SELECT conv_id, coalesce(path, []) AS path FROM convs LEFT JOIN (
+        SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY place) AS path
+        FROM rebuilt GROUP BY conv_id) USING (conv_id)
+),
+nodes AS (
+    SELECT prefix, len(prefix) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        bool_and(ends) AS leaf, (count(*) - 1) * coalesce(len(regexp_extract_all(prefix[-1].text,
+            '[^\x20\x09-\x0D]+')), 0) AS saved
+    FROM (SELECT conv_id, path[1:d] AS prefix, d = len(path) AS ends
+          FROM (SELECT *, unnest(range(len(path) + 1)) AS d FROM paths))
+    GROUP BY prefix
+),
+sums AS (
+    SELECT prefix[1:d] AS prefix, sum(leaf::BIGINT)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+    FROM (SELECT *, unnest(range(depth + 1)) AS d FROM nodes) GROUP BY ALL
+),
+children AS (
+    SELECT prefix[1:depth - 1] AS prefix, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL
+),
+ends AS (
+    SELECT path AS prefix, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS digest
+    FROM paths GROUP BY path
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children,
+    n_leaves, saved_tokens, coalesce(digest, sha256('')) AS ends_sha256
+FROM nodes n
+LEFT JOIN nodes p ON n.depth > 0 AND p.prefix = n.prefix[1:n.depth - 1]
+JOIN sums s ON s.prefix = n.prefix
+LEFT JOIN children c ON c.prefix = n.prefix
+LEFT JOIN ends e ON e.prefix = n.prefix
+"""
+
+_FOLDED = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = f"regexp_extract_all({_FOLDED.format('text')}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+_SEARCH = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS doc, doc_id, w FROM (SELECT doc_id, {_TERMS} AS w FROM documents)
+    WHERE len(w) > 0
+),
+sizes AS (SELECT count(*)::BIGINT AS n, sum(len(w))::BIGINT AS total FROM docs),
+uses AS (SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(w) AS term FROM docs) GROUP BY ALL),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * n + 2) / (2 * count(*) + 1)))::BIGINT AS weight
+    FROM uses, sizes GROUP BY term, n
+),
+asked AS (
+    SELECT DISTINCT item, item_id, unnest(w) AS term
+    FROM (SELECT row_number() OVER () AS item, item_id, {_TERMS} AS w FROM benchmark)
+),
+scores AS (
+    SELECT item, item_id, doc, doc_id,
+        sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(w) * n) // total))))::BIGINT AS score
+    FROM asked JOIN weights USING (term) JOIN uses USING (term) JOIN docs USING (doc), sizes
+    GROUP BY ALL
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank
+    FROM scores WHERE score > 0)
+WHERE rank <= 10
+"""
+
 ORACLE_SQL = {
     "op1_chat_format": _CHAT,
     "op4_benchmark_decontamination": _LEAKS,
     "op6_nearest_neighbours": _NEAREST,
     "op8_license_scan": _LICENSES,
     "op10_warc": _WARC,
+    "op11_prefix_trie": _TRIE,
+    "op13_ranked_search": _SEARCH,
 }
