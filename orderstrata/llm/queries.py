@@ -17,6 +17,7 @@ from orderstrata.llm import (
     repeats,
     search,
     simhash,
+    spans,
     trie,
 )
 from orderstrata.llm.common import stored
@@ -117,6 +118,13 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_tree(_sharing_heads(marks))
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of each document without runs of 35 words that also start elsewhere."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = spans.mark_repeated_spans(docs, window=35)
+    return marked.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best documents for each benchmark item."""
     return search.ranked(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), k=10)
@@ -136,6 +144,7 @@ QUERIES = {
         op9_simhash,
         op10_warc,
         op11_prefix_trie,
+        op12_substring_dedup,
         op13_ranked_search,
     )
 }

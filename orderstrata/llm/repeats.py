@@ -19,17 +19,15 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from orderstrata.llm.common import new_folder, pack, plainly_named, unpack, unused_name
+from orderstrata.llm.batches import batch_rows, store_batches
+from orderstrata.llm.common import pack, plainly_named, unpack, unused_name
 
 GRAM = 16
-# Bytes of text in a batch, windows and anchors looked at together, bytes of text behind a bucket.
-BATCH_BYTES = 1 << 20
+# Windows and anchors looked at together, bytes of text behind a bucket.
 WINDOWS_AT_ONCE = 1 << 20
 ANCHORS_AT_ONCE = 1 << 16
 BUCKET_BYTES = 8 << 20
@@ -37,58 +35,10 @@ PLACE_BITS = np.uint64(24)
 MULTIPLIERS = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)]
 NO_ID = np.iinfo(np.int64).max
 
-BATCH = "batch_id long, n_bytes long, rows binary"
 BLOB = "bucket long, batch_id long, blob binary"
 
 
-# --- batches of documents -----------------------------------------------------------
-
-
-def _ipc(batch: pa.RecordBatch) -> bytes:
-    sink = pa.BufferOutputStream()
-    options = pa.ipc.IpcWriteOptions(compression="zstd")
-    with pa.ipc.new_stream(sink, batch.schema, options=options) as writer:
-        writer.write_batch(batch)
-    return sink.getvalue().to_pybytes()
-
-
-def _rows(raw: bytes) -> pa.RecordBatch:
-    return next(iter(pa.ipc.open_stream(raw)))
-
-
-def _batched(batches: Iterable[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
-    number = TaskContext.get().partitionId() << 32
-    for batch in batches:
-        lengths = pc.binary_length(batch.column(text).cast(pa.binary()))
-        ends = np.cumsum(lengths.fill_null(0).to_numpy(zero_copy_only=False))
-        at = 0
-        while at < batch.num_rows:
-            before = int(ends[at - 1]) if at else 0
-            to = max(at + 1, int(np.searchsorted(ends, before + BATCH_BYTES, side="right")))
-            cut = batch.slice(at, to - at)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([number], pa.int64()),
-                    pa.array([int(ends[to - 1]) - before], pa.int64()),
-                    pa.array([_ipc(cut)], pa.binary()),
-                ],
-                ["batch_id", "n_bytes", "rows"],
-            )
-            number, at = number + 1, to
-
-
-def _store_batches(docs: DataFrame, text: int) -> DataFrame:
-    """Batches in files by batch, so that joining by batch leaves the text where it is."""
-    spark = docs.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    batches = docs.mapInArrow(lambda it: _batched(it, text), BATCH)
-    path = new_folder(spark, "batches")
-    name = f"batches_{path.rsplit('-', 1)[-1]}"
-    writer = batches.repartition(tasks, "batch_id").write.option("compression", "none")
-    writer.option("path", path).bucketBy(tasks, "batch_id").saveAsTable(name)
-    table = spark.read.table(name)
-    spark.sql(f"DROP TABLE {name}")  # the name only: the files are outside the warehouse
-    return table
+# --- texts of a batch -----------------------------------------------------------------
 
 
 def _texts(rows: pa.RecordBatch, text: int) -> tuple[np.ndarray, np.ndarray]:
@@ -221,7 +171,7 @@ def _send_hashes(
     """Per bucket each distinct gram of a batch, with the least and the greatest id."""
     for batch in batches:
         for number, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            found = _found(_rows(raw.as_py()), key, text, window)
+            found = _found(batch_rows(raw.as_py()), key, text, window)
             if not len(found.starts):
                 continue
             least = np.minimum.reduceat(found.ids, found.starts)
@@ -344,7 +294,7 @@ def _send_contexts(
         for number, raw, sent in zip(
             batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True
         ):
-            found = _found(_rows(raw.as_py()), key, text, window)
+            found = _found(batch_rows(raw.as_py()), key, text, window)
             marks = {m["bucket"]: m["blob"] for m in sent.as_py()}
             for listed, cuts, rows, least, _, _ in _shared_contexts(found, marks, window, buckets):
                 blobs = []
@@ -512,7 +462,7 @@ def _cover(
     """The rows of each batch with the ranges to cut from each."""
     for batch in batches:
         for raw, replies in zip(batch.column(0), batch.column(1), strict=True):
-            rows, replies = _rows(raw.as_py()), replies.as_py()
+            rows, replies = batch_rows(raw.as_py()), replies.as_py()
             if replies:
                 found = _found(rows, key, text, window)
                 data, ends = found.data, found.ends
@@ -554,7 +504,7 @@ def _batches_with_ranges(docs: DataFrame, key: int, text: int, window: int):
     """Every batch of documents with what its buckets said, and the function that reads both."""
     if window < GRAM + 8 or window > 200:
         raise ValueError("window: 24 to 200 bytes")
-    batches = _store_batches(plainly_named(docs), text)
+    batches = store_batches(plainly_named(docs), text)
     total = batches.agg(F.sum("n_bytes")).head()[0] or 0
     buckets = max(1, ceil(total / BUCKET_BYTES))
     where = {"key": key, "text": text, "window": window, "buckets": buckets}

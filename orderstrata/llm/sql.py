@@ -171,6 +171,32 @@ LEFT JOIN children c ON c.prefix = n.prefix
 LEFT JOIN ends e ON e.prefix = n.prefix
 """
 
+_SPANS = """
+WITH docs AS (
+    SELECT row_number() OVER () AS doc, doc_id, w FROM (SELECT doc_id,
+        coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS w FROM documents)
+),
+windows AS (
+    SELECT doc, place, sha256(array_to_string(w[place : place + 34], ' ')) AS run
+    FROM (SELECT doc, w, unnest(range(1, len(w) - 33)) AS place FROM docs)
+),
+repeated AS (SELECT run FROM windows GROUP BY run HAVING count(*) > 1),
+gone AS (
+    SELECT doc, list(DISTINCT word) AS words
+    FROM (SELECT doc, unnest(range(place, place + 35)) AS word FROM windows JOIN repeated USING (run))
+    GROUP BY doc
+),
+words AS (
+    SELECT doc, string_agg(word, ' ' ORDER BY place) AS kept
+    FROM (SELECT doc, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM docs)
+    ANTI JOIN (SELECT doc, unnest(words) AS place FROM gone) USING (doc, place)
+    GROUP BY doc
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(words), 0)::BIGINT AS n_removed,
+    sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN gone USING (doc) LEFT JOIN words USING (doc)
+"""
+
 _FOLDED = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _TERMS = f"regexp_extract_all({_FOLDED.format('text')}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
 
@@ -208,5 +234,6 @@ ORACLE_SQL = {
     "op8_license_scan": _LICENSES,
     "op10_warc": _WARC,
     "op11_prefix_trie": _TRIE,
+    "op12_substring_dedup": _SPANS,
     "op13_ranked_search": _SEARCH,
 }
