@@ -229,7 +229,8 @@ def _repeated_paths(batches: DataFrame, text: int, window: int, seed: int) -> Da
     anchors = paths.groupBy("anchor").agg(
         F.count("*").alias("places"), (F.min("form") != F.max("form")).alias("branches")
     )
-    met = anchors.where("places > 1").select("anchor", "branches")
+    # stored, so that the join has a plain shuffle on both sides, which can be split
+    met = stored(anchors.where("places > 1").select("anchor", "branches"), "anchors")
     paths = stored(paths.join(met, "anchor"), "paths")
 
     place = F.struct("batch_id", "start")
@@ -258,12 +259,10 @@ def _repeated_paths(batches: DataFrame, text: int, window: int, seed: int) -> Da
     given = batches.select("batch_id", "rows").join(_sent(opened, "start", "n", "times"), "batch_id")
     edges = taken(given, EDGES, lambda words, sent: _edges(words, sent, window, seed))
     edges = stored(edges, "edges")
-    several = (
-        edges.groupBy("edge")
-        .agg(F.sum("times").alias("all"), F.min(place).alias("first"), F.max(place).alias("last"))
-        .where(F.col("all") > 1)
-        .select("edge", "first", "last")
+    several = edges.groupBy("edge").agg(
+        F.sum("times").alias("all"), F.min(place).alias("first"), F.max(place).alias("last")
     )
+    several = stored(several.where(F.col("all") > 1).select("edge", "first", "last"), "several")
     # paths that are there twice are known to repeat; of the others it is asked edge by edge
     single = edges.where("times = 1").select("edge", "batch_id", "start", F.lit(1).cast("long").alias("n"))
     return as_a_whole.unionByName(sources(single.join(several, "edge")))
