@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from orderstrata.contracts import SALES
 from orderstrata.operators.enrich import one_per_subcategory
@@ -13,12 +14,19 @@ from orderstrata.plans.layers import run_layers
 from orderstrata.plans.reporting import UNCATEGORISED_TABLE, keep
 from orderstrata.session import build_session, size_for
 from orderstrata.sources import JdbcTables, ParquetTables, data_files
+from orderstrata.sources.parts import MALFORMED
 
 # Rows of a result that are printed; the table it is kept in has them all.
 SHOWN_ROWS = 1000
+# Tables of rows that were set aside are named like the table they were meant for, after this.
+HELD_PREFIX = "held_"
 FILES = (ingest.PRODUCTS_FILE, ingest.ORDER_HEADERS_FILE, ingest.ORDER_DETAILS_FILE)
 
 
+def _told() -> Column:
+    return F.array_join("reasons", "; ")
+
+
 def _show(title: str, table: str, result: DataFrame) -> None:
     print(f"\n{title}")
     result.show(SHOWN_ROWS, truncate=False)
@@ -38,6 +46,16 @@ def main() -> None:
     parser.add_argument(
         "--jdbc-option", action="append", default=[], metavar="NAME=VALUE", help="user, driver, ..."
     )
+    parser.add_argument(
+        "--hold-malformed",
+        action="store_true",
+        help="set rows that do not fit their table aside, with the reasons, instead of failing",
+    )
+    parser.add_argument(
+        "--keep-until-replaced",
+        action="store_true",
+        help="don't empty the tables first: they have their old rows until new ones are all written",
+    )
     args = parser.parse_args()
 
     spark = build_session()
@@ -50,9 +68,16 @@ def main() -> None:
         tables = JdbcTables(spark, args.store, properties=options)
     else:
         tables = ParquetTables(spark, args.store)
-    run = run_layers(tables, folder, layers)
+    run = run_layers(
+        tables, folder, layers, hold=args.hold_malformed, recreate=not args.keep_until_replaced
+    )
     for outcome in (*run.migrated, run.products, run.orders):
         print(f"{outcome.table}: {outcome.rows} rows")
+    for migrated in run.migrated:
+        if migrated.counts[MALFORMED]:
+            table = f"{HELD_PREFIX}{migrated.table}"
+            print(f"{migrated.counts[MALFORMED]} malformed rows, with the reasons, in {table}")
+            keep(tables, table, migrated.malformed.withColumn("reasons", _told()))
     if not run.products.uncategorised.isEmpty():
         listed = keep(
             tables, UNCATEGORISED_TABLE, one_per_subcategory(run.products.uncategorised)

@@ -28,6 +28,15 @@ def _typed(df: DataFrame, column: StructField) -> Column:
     return strictly(df, column.name, column.dataType, column.name).alias(column.name)
 
 
+def fitted(df: DataFrame, column: StructField) -> Column:
+    """A column of ``df`` in its type, texts trimmed; NULL for a value that does not fit."""
+    if isinstance(column.dataType, StringType):
+        return F.trim(F.col(column.name)).cast(column.dataType)
+    given = df.select(F.col(column.name)).schema.fields[0].dataType
+    value = F.col(column.name)
+    return value if given == column.dataType else value.try_cast(column.dataType)
+
+
 def clean(df: DataFrame, schema: StructType) -> DataFrame:
     """The schema's columns in its order and types, texts trimmed; other columns are dropped.
 

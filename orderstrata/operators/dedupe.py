@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +25,53 @@ def keep_one(df: DataFrame, key: str) -> DataFrame:
     return numbered.where("_place = 1").drop("_place")
 
 
+def marked(
+    df: DataFrame,
+    key: str,
+    heavy: Sequence[object] = (),
+    columns: Sequence[str] = (),
+    among: Column | None = None,
+) -> DataFrame:
+    """Every row, with a flag ``kept`` on those that :func:`keep_one` keeps.
+
+    One shuffle of the rows. ``heavy`` lists keys that too many rows have for one task, None
+    for a missing one (see :func:`orderstrata.plans.sizing.heavy_keys`): their rows are
+    numbered among those that one task has read, then the first ones of all tasks among each
+    other, while all others go by the key as usual. ``columns`` are those that decide which
+    row of a key comes first, all if none are named. Rows for which ``among`` does not hold are
+    not kept; they stay where they are in the numbering of others, and apart by task.
+    """
+    order = _in_order(df.select(*columns) if columns else df, key)
+    takes_part = F.lit(True) if among is None else F.coalesce(among, F.lit(False))
+    values = [v for v in heavy if v is not None]
+    is_heavy = F.coalesce(F.col(key).isin(values), F.lit(False)) if values else F.lit(False)
+    if None in heavy:
+        is_heavy = is_heavy | F.col(key).isNull()
+
+    def numbered(rows: DataFrame, apart: Column) -> DataFrame:
+        placed = rows.withColumns(
+            {
+                "_group": F.when(takes_part, F.col(key)),
+                "_task": F.when(apart | ~takes_part, F.spark_partition_id()).otherwise(-1),
+            }
+        )
+        near = Window.partitionBy("_group", "_task").orderBy(*order)
+        return placed.withColumn("_near", F.row_number().over(near))
+
+    first = takes_part & (F.col("_near") == 1)
+    if not heavy:
+        light = numbered(df, F.lit(False)).withColumn("kept", first)
+        return light.select(*df.columns, "kept")
+    light = numbered(df.where(~is_heavy), F.lit(False)).withColumn("kept", first)
+    gathered = numbered(df.where(is_heavy), F.lit(True)).withColumn(
+        "_task", F.when(first, F.lit(-1)).otherwise(F.col("_task"))
+    )
+    far = Window.partitionBy("_group", "_task").orderBy(*order)
+    gathered = gathered.withColumn("_far", F.row_number().over(far))
+    gathered = gathered.withColumn("kept", first & (F.col("_far") == 1))
+    return light.select(*df.columns, "kept").unionAll(gathered.select(*df.columns, "kept"))
+
+
 def surplus_rows(df: DataFrame, key: str) -> DataFrame:
     """Every row that :func:`keep_one` leaves out, equal rows once each.
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderstrata.contracts import Contract
-from orderstrata.operators.clean import strictly
+from orderstrata.operators.clean import fitted, strictly
 
 
 def referenced(df: DataFrame, parent: DataFrame, key: str) -> DataFrame:
@@ -54,23 +54,71 @@ def outside_domain(df: DataFrame, contract: Contract) -> DataFrame:
     return df.where(reduce(Column.__or__, bad))
 
 
-def conform(df: DataFrame, contract: Contract) -> DataFrame:
+def reasons(df: DataFrame, contract: Contract) -> Column:
+    """Why the contract does not take a row, an array of texts in its columns' order.
+
+    Of each column one reason at most: a value that does not fit its type, then an empty
+    one that must be filled, then one outside its domain. Texts are looked at trimmed.
+    """
+
+    def reason(name: str) -> Column:
+        value = F.col(name)
+        typed = fitted(df, contract.schema[name])
+        told = F.concat(F.lit(f"{name} does not take "), value.cast("string"))
+        why = F.when(value.isNotNull() & typed.isNull(), told)
+        if name in contract.required:
+            why = why.when(value.isNull(), F.lit(f"{name} is empty"))
+        if name in contract.domains:
+            inside = typed.isin(*contract.domains[name])
+            why = why.when(~inside, F.concat(F.lit(f"{name} does not allow "), typed))
+        return why
+
+    return F.array_compact(F.array(*[reason(name) for name in contract.columns]))
+
+
+def misfits(df: DataFrame, contract: Contract) -> DataFrame:
+    """Rows as they were given that the contract does not take, with the ``reasons``.
+
+    Where :func:`~orderstrata.operators.clean.clean` and :func:`conform` fail, these are
+    the rows that make them.
+    """
+    return df.withColumn("reasons", reasons(df, contract)).where("size(reasons) > 0")
+
+
+def sort_out(df: DataFrame, contract: Contract) -> DataFrame:
+    """Every row cleaned, with the ``reasons`` against it and, if there are any, as it was.
+
+    The contract's columns in their types, NULL where a value does not fit; ``reasons``;
+    and ``given``, all columns of ``df``, NULL for a row without reasons. One look at each
+    row, so that good and bad ones can be told apart in one scan.
+    """
+    typed = [fitted(df, field).alias(field.name) for field in contract.schema.fields]
+    looked_at = df.select(
+        *typed, reasons(df, contract).alias("reasons"), F.struct(*df.columns).alias("given")
+    )
+    return looked_at.withColumn("given", F.when(F.size("reasons") > 0, F.col("given")))
+
+
+def conform(df: DataFrame, contract: Contract, among: Column | None = None) -> DataFrame:
     """The contract's columns in its types, failing the job on a row it does not allow.
 
     Needs no pass of its own: empty required columns and values outside their
-    domain are caught row by row while the table is written.
+    domain are caught row by row while the table is written. Where ``among`` is given, only
+    rows for which it holds are looked at, and other columns stay behind the contract's.
     """
+    others = [] if among is None else [c for c in df.columns if c not in contract.columns]
+    looked_at = F.lit(True) if among is None else among
 
     def checked(name: str) -> Column:
         where = f"{contract.name}.{name}"
         value = strictly(df, name, contract.schema[name].dataType, where)
         if name in contract.required:
             missing = F.raise_error(F.lit(f"{where} is empty"))
-            value = F.when(F.col(name).isNull(), missing).otherwise(value)
+            value = F.when(looked_at & F.col(name).isNull(), missing).otherwise(value)
         if name in contract.domains:
             told = F.concat(F.lit(f"{where} does not allow "), F.col(name))
-            bad = _outside(name, contract.domains[name])
+            bad = looked_at & _outside(name, contract.domains[name])
             value = F.when(bad, F.raise_error(told)).otherwise(value)
         return value.alias(name)
 
-    return df.select([checked(name) for name in contract.columns])
+    return df.select(*[checked(name) for name in contract.columns], *others)

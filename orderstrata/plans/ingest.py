@@ -19,11 +19,15 @@ ORDER_HEADERS_FILE = "sales_order_header.csv"
 ORDER_DETAILS_FILE = "sales_order_detail.csv"
 
 
-def create_tables(tables: Tables, contracts: Iterable[Contract]) -> TablesCreated:
-    """Create the tables empty, in order, until one fails."""
+def create_tables(
+    tables: Tables, contracts: Iterable[Contract], missing_only: bool = False
+) -> TablesCreated:
+    """Create the tables empty, in order, until one fails; with ``missing_only`` those not there."""
     created: list[str] = []
     try:
         for contract in contracts:
+            if missing_only and tables.exists(contract):
+                continue
             tables.create(contract)
             created.append(contract.name)
     except Exception as error:

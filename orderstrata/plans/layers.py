@@ -29,13 +29,22 @@ class LayersRun:
     sections: list[Section]
 
 
-def run_layers(tables: Tables, folder: str, layers: Layers = SALES) -> LayersRun:
+def run_layers(
+    tables: Tables,
+    folder: str,
+    layers: Layers = SALES,
+    hold: bool = False,
+    recreate: bool = True,
+) -> LayersRun:
     """Fill every layer anew from the files in ``folder``.
 
     Raises :class:`StageFailed` at the first stage that does not succeed; the
-    migrations count as one stage and are all tried.
+    migrations count as one stage and are all tried. With ``hold``, rows that do not fit
+    their contract are set aside with the reasons (``migrated[n].malformed``) and fail nothing.
+    Without ``recreate``, tables that are there are not emptied first: a table whose stage
+    fails, or is not reached, still has the rows of the last run.
     """
-    created = create_tables(tables, layers.all())
+    created = create_tables(tables, layers.all(), missing_only=not recreate)
     if not created.success:
         done = ", ".join(created.created) or "none"
         raise StageFailed(f"creating tables (created: {done})") from created.error
@@ -44,7 +53,7 @@ def run_layers(tables: Tables, folder: str, layers: Layers = SALES) -> LayersRun
     load_order_headers(tables, folder)
     load_order_details(tables, folder)
 
-    migrated = migrate_all(tables, layers)
+    migrated = migrate_all(tables, layers, hold)
     failures = [f"{m.table}: {m.error}" for m in migrated if not m.success]
     if failures:
         raise StageFailed("migrating " + "; ".join(failures))

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from orderstrata.contracts import SALES, Contract, Layers
 from orderstrata.operators.clean import clean
-from orderstrata.operators.dedupe import keep_one, surplus_rows
-from orderstrata.operators.integrity import referenced, unreferenced
+from orderstrata.operators.dedupe import marked
+from orderstrata.operators.integrity import sort_out
 from orderstrata.plans.ingest import (
     RAW_ORDER_DETAILS,
     RAW_ORDER_HEADERS,
@@ -18,56 +18,94 @@ from orderstrata.plans.ingest import (
     Tables,
 )
 from orderstrata.plans.outcomes import Migrated
-from orderstrata.plans.sizing import small_enough
+from orderstrata.plans.sizing import heavy_keys, small_enough
+from orderstrata.sources.parts import DUPLICATE, KEPT, MALFORMED, PART, REJECTED, Layout
 
 
-Split = Callable[[DataFrame], tuple[DataFrame, DataFrame | None]]
+def _cleaned(raw: DataFrame, contract: Contract, hold: bool) -> DataFrame:
+    """Raw rows, cleaned, with ``fits``; one that does not fit fails the job if it is not held."""
+    if hold:
+        return sort_out(raw, contract).withColumn("fits", F.size("reasons") == 0)
+    return clean(raw, contract.schema).withColumn("fits", F.lit(True))
+
+
+def _with_known(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """Rows with ``known``: whether the one column of ``known``, unique there, has their value."""
+    met = rows.join(known.withColumn("known", F.lit(True)), known.columns, "left")
+    return met.select(*rows.columns, F.coalesce("known", F.lit(False)).alias("known"))
 
 
 def _migrate(
     tables: Tables,
     raw_table: str,
     contract: Contract,
-    admit: Split = lambda df: (df, None),
+    known: Callable[[], DataFrame] | None = None,
+    hold: bool = False,
+    layout: Layout | None = None,
 ) -> Migrated:
-    """One write; the rows are counted in the table written, not by a second run of the plan."""
+    """One write, of which all parts are counted on the way.
+
+    Keys and orders that very many rows share are looked for first: rows of such a key are
+    numbered apart, and a table with such an order is not put into buckets.
+    """
     try:
-        cleaned, rejected = admit(clean(tables.read_raw(raw_table), contract.schema))
-        tables.write(contract, keep_one(cleaned, contract.key))
+        rows = _cleaned(tables.read_raw(raw_table), contract, hold)
+        by = {contract.key} | ({layout.column} if layout else set())
+        heavy = heavy_keys(rows, sorted(by))
+        if layout and layout.column != contract.key and heavy[layout.column]:
+            layout = None
+        rows = _with_known(rows, known()) if known else rows.withColumn("known", F.lit(True))
+        fits, found = F.col("fits"), F.col("known")
+        told = marked(rows, contract.key, heavy[contract.key], contract.columns, fits & found)
+        part = F.when(~fits, MALFORMED).when(~found, REJECTED)
+        part = part.when(F.col("kept"), KEPT).otherwise(DUPLICATE)
+        told = told.withColumn(PART, part).drop("fits", "known", "kept")
+        written = tables.write_parts(contract, told, layout)
+        frames = {part: frame.select(contract.columns) for part, frame in written.frames.items()}
+        held = written.frames[MALFORMED].select("given.*", "reasons") if hold else None
         return Migrated(
             contract.name,
-            rows=tables.count(contract),
-            duplicates=surplus_rows(cleaned, contract.key),
-            rejected=rejected,
+            rows=written.rows[KEPT],
+            duplicates=frames[DUPLICATE],
+            rejected=frames[REJECTED] if known else None,
+            malformed=held,
+            counts=written.rows,
         )
     except Exception as error:
         return Migrated(contract.name, error=str(error))
 
 
-def migrate_products(tables: Tables, layers: Layers = SALES) -> Migrated:
-    return _migrate(tables, RAW_PRODUCTS, layers.products)
+def migrate_products(tables: Tables, layers: Layers = SALES, hold: bool = False) -> Migrated:
+    return _migrate(tables, RAW_PRODUCTS, layers.products, hold=hold)
+
 
+def _by_order(tables: Tables) -> Layout:
+    """Headers and lines alike, so that joining them moves neither."""
+    return Layout("SalesOrderID", int(tables.spark.conf.get("spark.sql.shuffle.partitions")))
 
-def migrate_order_headers(tables: Tables, layers: Layers = SALES) -> Migrated:
-    return _migrate(tables, RAW_ORDER_HEADERS, layers.order_headers)
 
+def migrate_order_headers(tables: Tables, layers: Layers = SALES, hold: bool = False) -> Migrated:
+    layout = _by_order(tables)
+    return _migrate(tables, RAW_ORDER_HEADERS, layers.order_headers, hold=hold, layout=layout)
 
-def migrate_order_details(tables: Tables, layers: Layers = SALES) -> Migrated:
+
+def migrate_order_details(tables: Tables, layers: Layers = SALES, hold: bool = False) -> Migrated:
     """Details of products already in the store; the others are left out."""
 
-    def of_known_products(details: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def known_products() -> DataFrame:
         known = tables.read(layers.products).select("ProductID")
-        if small_enough(known):
-            known = F.broadcast(known)
-        return (
-            referenced(details, known, "ProductID"),
-            unreferenced(details, known, "ProductID"),
-        )
+        return F.broadcast(known) if small_enough(known) else known
+
+    return _migrate(
+        tables, RAW_ORDER_DETAILS, layers.order_details, known_products, hold, _by_order(tables)
+    )
 
-    return _migrate(tables, RAW_ORDER_DETAILS, layers.order_details, of_known_products)
 
+def migrate_all(tables: Tables, layers: Layers = SALES, hold: bool = False) -> list[Migrated]:
+    """Every migration in order; a failed one does not stop the next.
 
-def migrate_all(tables: Tables, layers: Layers = SALES) -> list[Migrated]:
-    """Every migration in order; a failed one does not stop the next."""
+    With ``hold``, rows that a contract does not take are set aside with the reasons, instead
+    of failing their migration.
+    """
     steps = (migrate_products, migrate_order_headers, migrate_order_details)
-    return [step(tables, layers) for step in steps]
+    return [step(tables, layers, hold) for step in steps]

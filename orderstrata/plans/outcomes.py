@@ -24,7 +24,9 @@ class Migrated:
     """A raw table brought to its typed form, or the text of what stopped it.
 
     ``duplicates`` are rows whose key another one has; ``rejected`` rows that were turned
-    away before, for naming no known product.
+    away before, for naming no known product; ``malformed`` rows as they were given that the
+    contract does not take, with the ``reasons``, where such rows are held instead of failing
+    the stage. ``rows`` are the table's own, ``counts`` those of each part.
     """
 
     table: str
@@ -32,6 +34,8 @@ class Migrated:
     error: str | None = None
     duplicates: DataFrame | None = None
     rejected: DataFrame | None = None
+    malformed: DataFrame | None = None
+    counts: dict[str, int] = field(default_factory=dict)
 
     @property
     def success(self) -> bool:

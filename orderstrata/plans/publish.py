@@ -11,11 +11,9 @@ from orderstrata.plans.outcomes import Published
 def publish_products(tables: Tables, layers: Layers = SALES) -> Published:
     target = layers.published_products
     try:
-        tables.write(target, product_master(tables.read(layers.products)))
+        rows = tables.write(target, product_master(tables.read(layers.products)))
         published = tables.read(target)
-        return Published(
-            target.name, rows=tables.count(target), uncategorised=without_category(published)
-        )
+        return Published(target.name, rows=rows, uncategorised=without_category(published))
     except Exception as error:
         return Published(target.name, error=error)
 
@@ -23,10 +21,8 @@ def publish_products(tables: Tables, layers: Layers = SALES) -> Published:
 def publish_orders(tables: Tables, layers: Layers = SALES) -> Published:
     target = layers.published_orders
     try:
-        lines = order_lines(
-            tables.read(layers.order_details), tables.read(layers.order_headers)
-        )
-        tables.write(target, lines.drop("SalesOrderID"))
-        return Published(target.name, rows=tables.count(target))
+        stored = tables.read_for_join(layers.order_details, layers.order_headers)
+        rows = tables.write(target, order_lines(*stored).drop("SalesOrderID"))
+        return Published(target.name, rows=rows)
     except Exception as error:
         return Published(target.name, error=error)

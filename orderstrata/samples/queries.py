@@ -18,6 +18,7 @@ from orderstrata.plans import ingest
 from orderstrata.plans.layers import LayersRun, run_layers
 from orderstrata.plans.outcomes import Section
 from orderstrata.plans.reporting import sections
+from orderstrata.plans.sizing import heavy_keys
 from orderstrata.samples import tables as sample
 from orderstrata.session import shared_folder
 from orderstrata.sources import ParquetTables
@@ -73,16 +74,31 @@ def kept_order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.keep_one(sample.order_details(spark, sf_dir), "SalesOrderDetailID")
 
 
+def _surplus(df: DataFrame, key: str) -> DataFrame:
+    """Rows that are not the one kept of their key, by the same numbering as those kept."""
+    told = dedupe.marked(df, key, heavy_keys(df, [key])[key])
+    return told.where("NOT kept").drop("kept")
+
+
 def duplicate_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe.surplus_rows(clean_products(spark, sf_dir), "ProductID")
+    return _surplus(clean_products(spark, sf_dir), "ProductID")
 
 
 def duplicate_order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe.surplus_rows(clean_order_headers(spark, sf_dir), "SalesOrderID")
+    return _surplus(clean_order_headers(spark, sf_dir), "SalesOrderID")
 
 
 def duplicate_order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedupe.surplus_rows(sample.order_details(spark, sf_dir), "SalesOrderDetailID")
+    return _surplus(sample.order_details(spark, sf_dir), "SalesOrderDetailID")
+
+
+def duplicate_details_numbered_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The way taken for keys that very many rows have, here for the hundred largest."""
+    details = sample.order_details(spark, sf_dir)
+    counts = details.groupBy("SalesOrderDetailID").count()
+    heavy = [r.SalesOrderDetailID for r in counts.orderBy(F.desc("count")).limit(100).collect()]
+    told = dedupe.marked(details, "SalesOrderDetailID", heavy)
+    return told.where("NOT kept").drop("kept")
 
 
 def details_except_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,6 +136,27 @@ def headers_missing_required(spark: SparkSession, sf_dir: str) -> DataFrame:
     return integrity.missing_required(sample.order_headers(spark, sf_dir), _shipped_orders())
 
 
+def _with_told_reasons(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("reasons", F.array_join("reasons", "; "))
+
+
+def malformed_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw products that their table does not take, as they are, with the reasons."""
+    raw = sample.spoiled_products(spark, sf_dir)
+    return _with_told_reasons(integrity.misfits(raw, LAYERS.products))
+
+
+def malformed_order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = sample.spoiled_order_details(spark, sf_dir)
+    return _with_told_reasons(integrity.misfits(raw, LAYERS.order_details))
+
+
+def sorted_out_order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good and bad details in one frame: cleaned, NULL where a value does not fit."""
+    raw = sample.spoiled_order_details(spark, sf_dir)
+    return _with_told_reasons(integrity.sort_out(raw, LAYERS.order_details).drop("given"))
+
+
 def products_with_unknown_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Promoted products are given in a unit that the contract does not know."""
     unit = F.when(F.col("ProductCategoryName") == "PROMO", "MM")
@@ -291,6 +328,41 @@ def layers_rejected_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir)[0].migrated[2].rejected
 
 
+def _run_of_spoiled(spark: SparkSession, sf_dir: str) -> tuple[LayersRun, ParquetTables]:
+    """A run on files with malformed rows, which are held."""
+    folder = f"{shared_folder(spark)}/spoiled-{uuid.uuid4().hex}"
+    spoiled = {
+        ingest.PRODUCTS_FILE: sample.spoiled_products,
+        ingest.ORDER_HEADERS_FILE: sample.raw_order_headers,
+        ingest.ORDER_DETAILS_FILE: sample.spoiled_order_details,
+    }
+    for name, rows in spoiled.items():
+        _write_csv(rows(spark, sf_dir), f"{folder}/{name}")
+    tables = _new_tables(spark)
+    return run_layers(tables, folder, LAYERS, hold=True), tables
+
+
+def layers_held_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products set aside by a run, as the file has them, with the reasons."""
+    return _with_told_reasons(_run_of_spoiled(spark, sf_dir)[0].migrated[0].malformed)
+
+
+def layers_held_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_told_reasons(_run_of_spoiled(spark, sf_dir)[0].migrated[2].malformed)
+
+
+def layers_published_orders_beside_held(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run publishes when it sets malformed rows aside."""
+    return _run_of_spoiled(spark, sf_dir)[1].read(LAYERS.published_orders)
+
+
+def layers_parts_beside_held(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each part of each store table, counted by the job that wrote them."""
+    run, _ = _run_of_spoiled(spark, sf_dir)
+    counts = [(m.table, part, rows) for m in run.migrated for part, rows in m.counts.items()]
+    return spark.createDataFrame(counts, "table_name string, part string, row_count bigint")
+
+
 def layers_created_again(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of each typed table after a run, and once the tables are created anew."""
     _, tables = _run(spark, sf_dir)
@@ -350,10 +422,14 @@ QUERIES: dict[str, Query] = {
         duplicate_products,
         duplicate_order_headers,
         duplicate_order_details,
+        duplicate_details_numbered_apart,
         details_except_kept,
         details_of_catalogued_products,
         orphaned_details,
         repeated_detail_keys,
+        malformed_products,
+        malformed_order_details,
+        sorted_out_order_details,
         headers_missing_required,
         products_with_unknown_units,
         business_day_spans,
@@ -370,6 +446,10 @@ QUERIES: dict[str, Query] = {
         layers_store_order_headers,
         layers_store_order_details,
         layers_rejected_details,
+        layers_held_products,
+        layers_held_details,
+        layers_published_orders_beside_held,
+        layers_parts_beside_held,
         layers_created_again,
         layers_published_products,
         layers_published_orders,

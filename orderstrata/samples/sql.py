@@ -158,6 +158,37 @@ RAW_DETAILS = _padded(
     """SELECT * REPLACE (CASE WHEN UnitPrice >= 10000 THEN ProductID END AS ProductID,
                          CAST(UnitPrice AS VARCHAR) || '5' AS UnitPrice) FROM details""",
 )
+# The same with values that their tables do not take, and why not.
+SPOILED_PRODUCTS = """
+spoiled_products AS (
+  SELECT * REPLACE (CASE WHEN spoiled THEN ' OZ ' ELSE WeightUnitMeasureCode END
+                      AS WeightUnitMeasureCode,
+                    CASE WHEN spoiled THEN 'free' ELSE ListPrice END AS ListPrice),
+         CASE WHEN spoiled THEN 'ListPrice does not take free; WeightUnitMeasureCode does not allow OZ'
+              ELSE '' END AS reasons
+  FROM (SELECT *, CAST(trim(ProductID) AS BIGINT) % 7 = 0 AS spoiled FROM raw_products))"""
+SPOILED_DETAILS = """
+spoiled_details AS (
+  SELECT * EXCLUDE (o, words, digits) REPLACE (
+           CASE WHEN o % 11 = 0 THEN words ELSE OrderQty END AS OrderQty,
+           CASE WHEN o % 13 <> 0 THEN SalesOrderDetailID END AS SalesOrderDetailID,
+           CASE WHEN o % 17 = 0 THEN digits ELSE UnitPrice END AS UnitPrice),
+         concat_ws('; ',
+           CASE WHEN o % 13 = 0 THEN 'SalesOrderDetailID is empty' END,
+           CASE WHEN o % 11 = 0 THEN 'OrderQty does not take ' || words END,
+           CASE WHEN o % 17 = 0 THEN 'UnitPrice does not take ' || digits END) AS reasons
+  FROM (SELECT *, CAST(trim(SalesOrderID) AS BIGINT) AS o, ' about' || OrderQty AS words,
+               '12345678901234567890' || trim(UnitPrice) AS digits FROM raw_details))"""
+
+
+def _sorted_out(contract, name: str, source: str) -> str:
+    columns = ", ".join(
+        f"TRY_CAST(trim({f.name}) AS {SQL_TYPES[f.dataType.simpleString()]}) AS {f.name}"
+        for f in contract.schema.fields
+    )
+    return f"\n{name} AS (SELECT {columns}, reasons FROM {source})"
+
+
 CLEAN_PRODUCTS = _cleaned(LAYERS.products, "clean_products", "raw_products")
 CLEAN_HEADERS = _cleaned(LAYERS.order_headers, "clean_headers", "raw_headers")
 CLEAN_DETAILS = _cleaned(LAYERS.order_details, "clean_details", "raw_details")
@@ -208,6 +239,30 @@ STORE = (
 )
 LAYERED = (*STORE, _master("store_products"), _published("store_details", "store_headers"))
 
+# The run on spoiled files: what fits goes on as above, the rest is held.
+HELD = (
+    PRODUCTS,
+    RAW_PRODUCTS,
+    SPOILED_PRODUCTS,
+    _sorted_out(LAYERS.products, "told_products", "spoiled_products"),
+    _numbered(LAYERS.products, "numbered_products", "told_products WHERE reasons = ''"),
+    "\nstore_products AS (" + _select(LAYERS.products, "numbered_products", "place = 1") + ")",
+    HEADERS,
+    RAW_HEADERS,
+    CLEAN_HEADERS,
+    _numbered(LAYERS.order_headers, "numbered_headers", "clean_headers"),
+    "\nstore_headers AS (" + _select(LAYERS.order_headers, "numbered_headers", "place = 1") + ")",
+    DETAILS,
+    RAW_DETAILS,
+    SPOILED_DETAILS,
+    _sorted_out(LAYERS.order_details, "told_details", "spoiled_details"),
+    "\nfitting_details AS (SELECT d.*, EXISTS (SELECT 1 FROM store_products p"
+    " WHERE p.ProductID = d.ProductID) AS known FROM told_details d WHERE reasons = '')",
+    _numbered(LAYERS.order_details, "numbered_details", "fitting_details WHERE known"),
+    "\nstore_details AS (" + _select(LAYERS.order_details, "numbered_details", "place = 1") + ")",
+    _published("store_details", "store_headers"),
+)
+
 DIRECT = (
     PRODUCTS,
     HEADERS,
@@ -242,6 +297,24 @@ def _before_and_after(name: str, source: str) -> str:
     )
 
 
+def _part(table: str, part: str, source: str) -> str:
+    return (
+        f"SELECT '{table}' AS table_name, '{part}' AS part, count(*) AS row_count FROM {source}"
+    )
+
+
+def _parts(table: str, numbered: str, rejected: str, malformed: str) -> list[str]:
+    return [
+        _part(table, "kept", f"{numbered} WHERE place = 1"),
+        _part(table, "duplicate", f"{numbered} WHERE place > 1"),
+        _part(table, "rejected", rejected),
+        _part(table, "malformed", malformed),
+    ]
+
+
+NOBODY = "(SELECT 1 WHERE FALSE)"
+
+
 def _count(name: str, source: str, condition: str = "TRUE") -> str:
     return f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {source} WHERE {condition}"
 
@@ -311,6 +384,64 @@ ORACLE_SQL: dict[str, str] = {
         _numbered(LAYERS.order_details, "numbered", "details"),
         _select(LAYERS.order_details, "numbered", "place > 1"),
     ),
+    "duplicate_details_numbered_apart": _query(
+        DETAILS,
+        _numbered(LAYERS.order_details, "numbered", "details"),
+        _select(LAYERS.order_details, "numbered", "place > 1"),
+    ),
+    "malformed_products": _query(
+        PRODUCTS,
+        RAW_PRODUCTS,
+        SPOILED_PRODUCTS,
+        "\nSELECT * EXCLUDE (spoiled) FROM spoiled_products WHERE reasons <> ''",
+    ),
+    "malformed_order_details": _query(
+        DETAILS,
+        RAW_DETAILS,
+        SPOILED_DETAILS,
+        "\nSELECT * FROM spoiled_details WHERE reasons <> ''",
+    ),
+    "sorted_out_order_details": _query(
+        DETAILS,
+        RAW_DETAILS,
+        SPOILED_DETAILS,
+        _sorted_out(LAYERS.order_details, "told_details", "spoiled_details"),
+        "\nSELECT * FROM told_details",
+    ),
+    "layers_held_products": _query(
+        PRODUCTS,
+        RAW_PRODUCTS,
+        SPOILED_PRODUCTS,
+        "\nSELECT * EXCLUDE (spoiled) FROM spoiled_products WHERE reasons <> ''",
+    ),
+    "layers_held_details": _query(
+        DETAILS,
+        RAW_DETAILS,
+        SPOILED_DETAILS,
+        "\nSELECT * FROM spoiled_details WHERE reasons <> ''",
+    ),
+    "layers_published_orders_beside_held": _query(*HELD, "\nSELECT * FROM published"),
+    "layers_parts_beside_held": _query(
+        *HELD,
+        "\n"
+        + "\nUNION ALL ".join(
+            [
+                *_parts(
+                    "store_products",
+                    "numbered_products",
+                    NOBODY,
+                    "told_products WHERE reasons <> ''",
+                ),
+                *_parts("store_sales_order_header", "numbered_headers", NOBODY, NOBODY),
+                *_parts(
+                    "store_sales_order_detail",
+                    "numbered_details",
+                    "fitting_details WHERE NOT known",
+                    "told_details WHERE reasons <> ''",
+                ),
+            ]
+        ),
+    ),
     "details_except_kept": _query(
         DETAILS,
         _numbered(LAYERS.order_details, "numbered", "details"),

@@ -125,6 +125,39 @@ def raw_order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _padded(details.withColumns({"ProductID": named, "UnitPrice": finer}))
 
 
+def spoiled_order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order details as text, some with what their table does not take.
+
+    Of every eleventh order the quantities are words, of every thirteenth the line's number
+    is missing, of every seventeenth the price has too many digits.
+    """
+    raw = raw_order_details(spark, sf_dir)
+    order = F.trim("SalesOrderID").cast("bigint")
+    words = F.concat(F.lit(" about"), F.col("OrderQty"))
+    digits = F.concat(F.lit("12345678901234567890"), F.trim("UnitPrice"))
+    return raw.withColumns(
+        {
+            "OrderQty": F.when(order % 11 == 0, words).otherwise(F.col("OrderQty")),
+            "SalesOrderDetailID": F.when(order % 13 != 0, F.col("SalesOrderDetailID")),
+            "UnitPrice": F.when(order % 17 == 0, digits).otherwise(F.col("UnitPrice")),
+        }
+    )
+
+
+def spoiled_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products as text; every seventh comes in a unit unknown and at a price that is none."""
+    raw = raw_products(spark, sf_dir)
+    spoiled = F.trim("ProductID").cast("bigint") % 7 == 0
+    return raw.withColumns(
+        {
+            "WeightUnitMeasureCode": F.when(spoiled, " OZ ").otherwise(
+                F.col("WeightUnitMeasureCode")
+            ),
+            "ListPrice": F.when(spoiled, "free").otherwise(F.col("ListPrice")),
+        }
+    )
+
+
 def catalogued_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products with a size unit or a category; lines of the others have no product here."""
     return products(spark, sf_dir).where(

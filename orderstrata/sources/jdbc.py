@@ -5,10 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderstrata.contracts import Contract
 from orderstrata.operators.integrity import conform
 from orderstrata.sources.empty import empty_table
+from orderstrata.sources.parts import KEPT, PART, Layout, Parts, counted, counted_by_part
 
 
 @dataclass(frozen=True)
@@ -76,16 +78,46 @@ class JdbcTables:
             )
         return self.spark.read.format("jdbc").options(**self.read_options(name)).load()
 
-    def write_raw(self, name: str, df: DataFrame) -> None:
-        options = self.write_options(name, typed=False)
+    def write_raw(self, name: str, df: DataFrame) -> int:
+        """Rows written, counted by the job that writes them."""
+        rows, counts = counted(df)
+        self._save(name, rows, typed=False)
+        return counts()[KEPT]
+
+    def _save(self, name: str, df: DataFrame, typed: bool) -> None:
+        options = self.write_options(name, typed)
         df.write.format("jdbc").options(**options).mode("overwrite").save()
 
+    def exists(self, contract: Contract) -> bool:
+        try:
+            return bool(self.read(contract).schema.fields)
+        except Exception:  # whatever a driver raises for a table that is not there
+            return False
+
     def read(self, contract: Contract) -> DataFrame:
         return self.read_raw(contract.name)
 
-    def write(self, contract: Contract, df: DataFrame) -> None:
-        options = self.write_options(contract.name, typed=True)
-        conform(df, contract).write.format("jdbc").options(**options).mode("overwrite").save()
+    def read_for_join(self, left: Contract, right: Contract) -> tuple[DataFrame, DataFrame]:
+        return self.read(left), self.read(right)
+
+    def write(self, contract: Contract, df: DataFrame) -> int:
+        rows, counts = counted(conform(df, contract))
+        self._save(contract.name, rows, typed=True)
+        return counts()[KEPT]
+
+    def write_parts(
+        self, contract: Contract, df: DataFrame, layout: Layout | None = None
+    ) -> Parts:
+        """Replaces a table by the rows of ``df`` whose ``part`` is ``kept``; counts all parts.
+
+        The other parts have no table here: their frames are worked out again when asked for.
+        A database lays its rows out by itself.
+        """
+        rows, counts = counted_by_part(df)
+        kept = rows.where(F.col(PART) == KEPT).select(contract.columns)
+        self._save(contract.name, conform(kept, contract), typed=True)
+        found = counts()
+        return Parts(found, {part: df.where(F.col(PART) == part).drop(PART) for part in found})
 
     def count(self, contract: Contract) -> int:
         """Rows of a table, counted by the database."""
@@ -94,4 +126,4 @@ class JdbcTables:
         return int(self.spark.read.format("jdbc").options(**options).load().first()[0])
 
     def create(self, contract: Contract) -> None:
-        self.write(contract, empty_table(self.spark, contract))
+        self._save(contract.name, conform(empty_table(self.spark, contract), contract), typed=True)
