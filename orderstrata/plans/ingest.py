@@ -6,7 +6,13 @@ from collections.abc import Iterable
 
 from orderstrata.contracts import Contract
 from orderstrata.plans.outcomes import TablesCreated
-from orderstrata.sources import JdbcTables, ParquetTables, read_csv
+from orderstrata.sources import (
+    JdbcTables,
+    ParquetTables,
+    read_alike,
+    read_csv,
+    tells_of_headers,
+)
 
 Tables = ParquetTables | JdbcTables
 
@@ -36,7 +42,14 @@ def create_tables(
 
 
 def _load(tables: Tables, folder: str, file: str, raw_table: str) -> None:
-    tables.write_raw(raw_table, read_csv(tables.spark, f"{folder.rstrip('/')}/{file}"))
+    """Files are taken to have one header; only if tasks find that they don't, all are looked at."""
+    path = f"{folder.rstrip('/')}/{file}"
+    try:
+        tables.write_raw(raw_table, read_alike(tables.spark, path))
+    except Exception as error:
+        if not tells_of_headers(error):
+            raise
+        tables.write_raw(raw_table, read_csv(tables.spark, path))
 
 
 def load_products(tables: Tables, folder: str) -> None:

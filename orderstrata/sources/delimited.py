@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections import defaultdict
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
 
 def data_files(spark: SparkSession, path: str) -> dict[str, int]:
     """Files at a path, in a folder or by a pattern, with their bytes; hidden ones left out."""
@@ -23,34 +24,58 @@ def data_files(spark: SparkSession, path: str) -> dict[str, int]:
     return found
 
 
-def _first_line(spark: SparkSession, file: str) -> str:
-    """The header line; only the first block of the file is opened, by the driver."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(file)
-    stream = path.getFileSystem(conf).open(path)
-    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
-    readable = stream if codec is None else codec.createInputStream(stream)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(readable, "UTF-8"))
-    try:
-        return (reader.readLine() or "").removeprefix("\ufeff")
-    finally:
-        reader.close()
+def header_lines(spark: SparkSession, files: list[str]) -> dict[str, str]:
+    """The header of each file, found by tasks; files without a line are left out.
+
+    The first line that holds something in a file's first block; the driver opens no file.
+    What comes to the driver is a line for each file, whose names it holds anyway.
+    """
+    lines = spark.read.text(files).select("_metadata.file_path", "_metadata.file_block_start", "value")
+    filled = lines.where("file_block_start = 0 AND trim(BOTH FROM value) <> ''")
+    # all lines of a first block are in one partition, in their order
+    first = filled.groupBy("file_path").agg(F.first("value").alias("line"))
+    return {_plain(row.file_path): row.line.removeprefix("\ufeff") for row in first.collect()}
+
+
+def _plain(uri: str) -> str:
+    """A file's name as the file system lists it."""
+    name = unquote(uri)
+    return name.replace("file:///", "file:/", 1) if name.startswith("file:///") else name
+
+
+def read_alike(spark: SparkSession, path: str) -> DataFrame:
+    """A CSV file or folder whose files have the same header row; every column is text.
+
+    No file is looked at beforehand but one. Tasks hold each file's header against its, and one
+    that differs fails the job (see :func:`tells_of_headers`).
+    """
+    return spark.read.csv(path, header=True, enforceSchema=False)
+
+
+def tells_of_headers(error: Exception) -> bool:
+    """Whether a job failed on files with differing headers."""
+    return "CSV header does not conform to the schema" in str(error) or (
+        "Number of column in CSV header is not equal to number of fields in the schema"
+        in str(error)
+    )
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """A CSV file or folder with a header row in each file; every column is text.
 
     Columns go by name: files of a folder may list them in different orders. One that
-    lacks a column or has one more than the others is an error that names the file. Files
-    with the same header are one scan; Spark holds every file against it once more while
+    lacks a column or has one more than the others is an error that names the file. Headers
+    of several files are read first, by tasks, which takes one scan of the lines; files with the
+    same header are one scan then, and Spark holds every file against it once more while
     reading. Empty files are left out.
     """
     files = [file for file, size in sorted(data_files(spark, path).items()) if size]
-    if len(files) < 2:
-        return spark.read.csv(path, header=True, enforceSchema=False)
     by_header: dict[str, list[str]] = defaultdict(list)
-    for file in files:
-        by_header[_first_line(spark, file)].append(file)
+    if len(files) > 1:
+        for file, header in sorted(header_lines(spark, files).items()):
+            by_header[header].append(file)
+    if len(by_header) < 2:
+        return read_alike(spark, path)
     scans = [
         (alike[0], spark.read.csv(alike, header=True, enforceSchema=False))
         for alike in by_header.values()
