@@ -56,6 +56,12 @@ def main() -> None:
         action="store_true",
         help="don't empty the tables first: they have their old rows until new ones are all written",
     )
+    parser.add_argument(
+        "--jdbc-parts",
+        type=int,
+        default=16,
+        help="tasks that read a database table, parted by its key as the database tells",
+    )
     args = parser.parse_args()
 
     spark = build_session()
@@ -65,7 +71,8 @@ def main() -> None:
     layers = SALES.widened() if args.wide_ids else SALES
     if args.store.startswith("jdbc:"):
         options = dict(option.split("=", 1) for option in args.jdbc_option)
-        tables = JdbcTables(spark, args.store, properties=options)
+        keys = ingest.keys_of(layers)
+        tables = JdbcTables(spark, args.store, options, keys=keys, parts=args.jdbc_parts)
     else:
         tables = ParquetTables(spark, args.store)
     run = run_layers(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from orderstrata.contracts import Contract
+from orderstrata.contracts import Contract, Layers
 from orderstrata.plans.outcomes import TablesCreated
 from orderstrata.sources import (
     JdbcTables,
@@ -25,6 +25,17 @@ ORDER_HEADERS_FILE = "sales_order_header.csv"
 ORDER_DETAILS_FILE = "sales_order_detail.csv"
 
 
+def keys_of(layers: Layers) -> dict[str, str]:
+    """The key of each table of all layers, raw ones included."""
+    raw = {
+        RAW_PRODUCTS: layers.products,
+        RAW_ORDER_HEADERS: layers.order_headers,
+        RAW_ORDER_DETAILS: layers.order_details,
+    }
+    typed = {contract.name: contract for contract in layers.all()}
+    return {name: contract.key for name, contract in {**raw, **typed}.items()}
+
+
 def create_tables(
     tables: Tables, contracts: Iterable[Contract], missing_only: bool = False
 ) -> TablesCreated:

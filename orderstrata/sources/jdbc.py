@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampType
 
 from orderstrata.contracts import Contract
 from orderstrata.operators.integrity import conform
@@ -13,6 +14,11 @@ from orderstrata.sources.empty import empty_table
 from orderstrata.sources.parts import KEPT, PART, Layout, Parts, counted, counted_by_part
 
 
+def quoted(text: str) -> str:
+    """A text as SQL has it."""
+    return "'" + text.replace("'", "''") + "'"
+
+
 @dataclass(frozen=True)
 class Split:
     """How to read a table in parallel: ranges of a numeric or date column.
@@ -21,8 +27,8 @@ class Split:
     """
 
     column: str
-    lower: int | str
-    upper: int | str
+    lower: object
+    upper: object
     partitions: int
 
     def options(self) -> dict[str, str]:
@@ -38,12 +44,13 @@ class Split:
 class JdbcTables:
     """Named tables of one database; every write replaces the whole table.
 
-    ``properties`` are passed to the driver (user, password, ...). Without a
-    :class:`Split` or predicates a table is read by a single task, so give one for each
-    table that is not small. A split goes by a numeric or date column, which raw tables
-    don't have: they take ``predicates``, conditions in the database's SQL that part the
-    rows among them, a task for each. ``connections`` bounds the tasks that write at a
-    time.
+    ``properties`` are passed to the driver (user, password, ...). A table is read by
+    several tasks by a :class:`Split` of a numeric or date column, or by ``predicates``,
+    conditions in the database's SQL that part the rows among them, a task for each. Where
+    neither is given but the table has one of the ``keys``, a column's name, the database is
+    asked how to part it into ``parts`` by that column, whatever its type (see
+    :meth:`planned`); any other table is read by a single task. ``connections`` bounds the
+    tasks that write at a time.
 
     A typed write empties the table and those that refer to it, and keeps their
     definitions: parents are to be written before their children, as the stages do.
@@ -55,12 +62,44 @@ class JdbcTables:
     splits: dict[str, Split] = field(default_factory=dict)
     predicates: dict[str, list[str]] = field(default_factory=dict)
     connections: int = 16
+    keys: dict[str, str] = field(default_factory=dict)
+    parts: int = 16
+
+    def planned(self, name: str) -> Split | list[str] | None:
+        """How to read a table by its key in ``parts``, as the database tells.
 
-    def read_options(self, name: str) -> dict[str, str]:
+        For a key of numbers or dates that is the least and the greatest, between which Spark
+        places even ranges. Other keys, as those of raw tables, which are texts, have no such
+        ranges: the database numbers its rows in order of the key and names the least one of
+        each part. Rows equal in the key stay together, those without one go with the first
+        part, and each row belongs to exactly one. None for an empty table.
+        """
+        column = self.keys[name]
+        kind = self._frame(dbtable=name).schema[column].dataType
+        dialect = self.spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(self.url)
+        key = dialect.quoteIdentifier(column)
+        if isinstance(kind, (NumericType, DateType, TimestampType)):
+            asked = f"SELECT min({key}) AS lower_end, max({key}) AS upper_end FROM {name}"
+            ends = self._frame(query=asked).first()
+            return None if ends[0] is None else Split(column, ends[0], ends[1], self.parts)
+        placed = f"SELECT {key} AS k, ntile({self.parts}) OVER (ORDER BY {key}) AS part FROM {name}"
+        asked = f"SELECT part, min(k) AS least FROM ({placed} WHERE {key} IS NOT NULL) t GROUP BY part"
+        # parts go in the database's own order of texts, which need not be ours
+        parts = sorted(tuple(row) for row in self._frame(query=asked).collect())
+        lows = [quoted(least) for least in dict.fromkeys(least for _, least in parts)]
+        if len(lows) < 2:
+            return None
+        inner = [f"{key} >= {a} AND {key} < {b}" for a, b in zip(lows[1:], lows[2:])]
+        return [f"{key} < {lows[1]} OR {key} IS NULL", *inner, f"{key} >= {lows[-1]}"]
+
+    def _frame(self, **what: str) -> DataFrame:
+        options = {**self.properties, "url": self.url, **what}
+        return self.spark.read.format("jdbc").options(**options).load()
+
+    def read_options(self, name: str, split: Split | None = None) -> dict[str, str]:
         options = {**self.properties, "url": self.url, "dbtable": name}
-        if name in self.splits:
-            options.update(self.splits[name].options())
-        return options
+        split = self.splits.get(name, split)
+        return {**options, **split.options()} if split else options
 
     def write_options(self, name: str, typed: bool) -> dict[str, str]:
         options = {**self.properties, "url": self.url, "dbtable": name}
@@ -72,11 +111,14 @@ class JdbcTables:
         return options
 
     def read_raw(self, name: str) -> DataFrame:
-        if name in self.predicates:
+        how = self.predicates.get(name)
+        if how is None and name in self.keys and name not in self.splits and self.parts > 1:
+            how = self.planned(name)
+        if isinstance(how, list):
             return self.spark.read.jdbc(
-                self.url, name, predicates=self.predicates[name], properties=self.properties
+                self.url, name, predicates=how, properties=self.properties
             )
-        return self.spark.read.format("jdbc").options(**self.read_options(name)).load()
+        return self.spark.read.format("jdbc").options(**self.read_options(name, how)).load()
 
     def write_raw(self, name: str, df: DataFrame) -> int:
         """Rows written, counted by the job that writes them."""
