@@ -216,7 +216,7 @@ def _sampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(*LABELS))
     known = known.withColumn("nth", nth).where(F.col("nth") <= FITTED_AT_MOST)
     ordered = known.orderBy("nth", F.xxhash64("doc_id"), "doc_id")
-    return ordered.limit(FITTED_AT_MOST).drop("nth")
+    return ordered.limit(FITTED_AT_MOST)
 
 
 def train(docs: DataFrame, labels: DataFrame) -> tuple[Head, Head]:
@@ -226,7 +226,11 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[Head, Head]:
     part stands. Three numbers for each document are broadcast, and 64 bytes a head and
     its statistics come to the driver, whatever the corpus.
     """
-    given = docs.join(F.broadcast(_sampled(docs, labels)), "doc_id").select("text", *LABELS)
+    given = docs.join(F.broadcast(_sampled(docs, labels)), "doc_id")
+    # of many rows with a sampled id one goes on; each task sends one at most
+    first = Window.partitionBy("doc_id", "nth").orderBy(F.xxhash64("text"))
+    given = given.withColumn("of_id", F.row_number().over(first)).where("of_id = 1")
+    given = given.limit(FITTED_AT_MOST).select("text", *LABELS)
     given = stored(given.mapInArrow(_featured, FEATURED), "sample")
     chosen = {label: _telling(given, label) for label in LABELS}
     rows = given.mapInArrow(lambda it: _held(it, chosen), HELD).collect()

@@ -120,3 +120,17 @@ def test_sample_holds_documents_at_hand(spark, monkeypatch):
     assert [len(rows) for rows in seen] == [100, 100]
     assert sum(r.quality for r in seen[0]) == 50
     assert all((found[k] > 0.5) == (k % 2 == 0) for k in range(100))
+
+
+def test_one_labelled_id_on_many_rows_fits_no_more_than_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(quality, "FITTED_AT_MOST", 10)
+    docs = [(7, f"copy number {k} of many") for k in range(500)] + [(k, f"text {k}") for k in range(100, 120)]
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(6)
+    labels = spark.createDataFrame(
+        [(7, 1, 0)] * 3 + [(k, k % 2, 0) for k in range(100, 120)], "doc_id long, quality int, toxic int"
+    )
+    fitted = []
+    kept = quality.stored
+    monkeypatch.setattr(quality, "stored", lambda df, name: fitted.append(kept(df, name)) or fitted[-1])
+    quality.train(table, labels)
+    assert fitted[0].count() <= 10
