@@ -12,20 +12,20 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderstrata.llm.common import new_folder
+from orderstrata.llm.common import new_folder, stored
 
 # Equal payloads of fewer bytes are not worth a revisit record.
 LEAST_REVISIT = 1000
 PAYLOAD_DATE = "2000-01-01T00:00:00Z"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
-DIGESTS = "page_id long, url string, size long, sha1 string, digest binary"
+DIGESTS = "row long, page_id long, url string, size long, sha1 string, digest binary"
 PAYLOADS = "page_id long, size long, digest binary, payload binary"
 HEADERS = (
     "page_id long, record_type string, refers_to long, digest binary, "
     "header binary, http_header binary"
 )
-RECORDS = "header binary, http_header binary, payload binary"
+RECORDS = "record binary, payload binary"
 READ = (
     "page_id long, payload_bytes long, payload_digest string, record_type string, "
     "refers_to long, url string"
@@ -52,11 +52,10 @@ class Archive:
 def _digests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [f.split()[0] for f in DIGESTS.split(", ")]
     for batch in batches:
-        payloads = [v.as_py() or b"" for v in batch.column(2).cast(pa.binary())]
+        payloads = [v.as_py() or b"" for v in batch.column(3).cast(pa.binary())]
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column(0),
-                batch.column(1),
+                *batch.columns[:3],
                 pa.array(map(len, payloads), pa.int64()),
                 pa.array([hashlib.sha1(p).hexdigest() for p in payloads], pa.string()),
                 pa.array([hashlib.sha256(p).digest() for p in payloads], pa.binary()),
@@ -81,8 +80,9 @@ def _payloads(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _record_id(page_id: int | None) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, str(page_id))}>"
+def _record_id(page_id: int | None, row: int) -> str:
+    """No two rows have the same, even if they repeat a page id or have none."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'{page_id} {row}')}>"
 
 
 def _line(value: str | None) -> str:
@@ -90,24 +90,26 @@ def _line(value: str | None) -> str:
     return (value or "").replace("\r", "%0D").replace("\n", "%0A")
 
 
-def _header(page_id, url, size, sha1, record_type, refers_to, date) -> tuple[bytes, bytes]:
+def _header(page_id, row, url, size, sha1, holder, date) -> tuple[bytes, bytes]:
+    """WARC and HTTP header of a record; ``holder``, page id and row, is what it revisits."""
+    kind = "revisit" if holder else "response"
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n"
     http_header = http.encode()
-    length = len(http_header) + (size if record_type == "response" else 0)
+    length = len(http_header) + (0 if holder else size)
     lines = [
         "WARC/1.1",
-        f"WARC-Type: {record_type}",
-        f"WARC-Record-ID: {_record_id(page_id)}",
+        f"WARC-Type: {kind}",
+        f"WARC-Record-ID: {_record_id(page_id, row)}",
         f"WARC-Page-ID: {'' if page_id is None else page_id}",
         f"WARC-Target-URI: {_line(url)}",
         f"WARC-Date: {date}",
         f"WARC-Payload-Digest: sha1:{sha1}",
     ]
-    if record_type == "revisit":
+    if holder:
         lines += [
             f"WARC-Profile: {REVISIT_PROFILE}",
-            f"WARC-Refers-To: {_record_id(refers_to)}",
-            f"WARC-Refers-To-Page-ID: {refers_to}",
+            f"WARC-Refers-To: {_record_id(*holder)}",
+            f"WARC-Refers-To-Page-ID: {holder[0]}",
         ]
     lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {length}"]
     return ("\r\n".join(lines) + "\r\n\r\n").encode(), http_header
@@ -118,13 +120,15 @@ def _headers(batches: Iterable[pa.RecordBatch], date: str) -> Iterator[pa.Record
     kinds = [pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
     for batch in batches:
         rows = []
-        for page_id, url, size, sha1, digest, holder in zip(
+        for row, page_id, url, size, sha1, digest, holder in zip(
             *(c.to_pylist() for c in batch.columns), strict=True
         ):
-            again = size >= LEAST_REVISIT and holder is not None and page_id != holder
-            kind, refers_to = ("revisit", holder) if again else ("response", None)
-            both = _header(page_id, url, size, sha1, kind, refers_to, date)
-            rows.append((page_id, kind, refers_to, digest, *both))
+            revisited = None
+            if size >= LEAST_REVISIT and holder and holder["row"] != row:
+                revisited = holder["page_id"], holder["row"]
+            both = _header(page_id, row, url, size, sha1, revisited, date)
+            kind = "revisit" if revisited else "response"
+            rows.append((page_id, kind, revisited and revisited[0], digest, *both))
         columns = list(zip(*rows, strict=True)) or [()] * 6
         arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
         yield pa.RecordBatch.from_arrays(arrays, names)
@@ -142,23 +146,30 @@ def write_archive(
 
     ``payloads`` holds each distinct payload once, compressed, under its SHA-256;
     ``headers`` the exact header bytes of each record, its type, and the digest that
-    leads to its payload. Of records with equal payloads of 1000 bytes or more, those
-    with the largest page id are responses and the others revisits of it; all others
-    are responses. A NULL html is an empty payload, a NULL url an empty one. Rows without
-    a page id refer to the largest like any other, and are never referred to. Rows
-    that repeat an id are records each. Other columns play no part.
-
-    The payload crosses the network once, compressed, to meet its equals; of each task's
-    equal payloads one is sent, so a payload that many pages share is no hot spot. The
-    join that gives each page its group's largest id holds digests only.
+    leads to its payload. Of records with equal payloads of 1000 bytes or more, that
+    with the largest page id, one of them if several rows have it, is the response and the
+    others revisits of it; all others are responses. A NULL html is an empty payload, a
+    NULL url an empty one. Rows without a page id refer to the largest like any other, and
+    are never referred to. Rows that repeat an id, or have none, are records each, with record
+    ids of their own. Payloads are held one at a time, however long. Other columns play no
+    part.
+
+    Digests are taken once and stored. The payload crosses the network once, compressed, to
+    meet its equals; of each task's equal payloads one is sent, so a payload that many pages
+    share is no hot spot. The join that gives each page its group's largest id holds digests
+    only.
     """
     rows = pages.select(
         F.col(id_column).cast("long"), F.col(url_column), F.col(html_column)
     ).toDF("page_id", "url", "html")
-    digests = rows.mapInArrow(_digests, DIGESTS)
-    holders = digests.groupBy("digest").agg(F.max("page_id").alias("holder"))
-    held = digests.join(holders, "digest").select(
-        "page_id", "url", "size", "sha1", "digest", "holder"
+    numbered = rows.select(F.monotonically_increasing_id().alias("row"), "page_id", "url", "html")
+    digests = stored(numbered.mapInArrow(_digests, DIGESTS), "digests")
+    named = F.when(F.col("page_id").isNotNull(), F.struct("page_id", "row"))
+    holders = digests.groupBy("digest").agg(F.max(named).alias("holder"))
+    # stored, so that a digest of very many pages can be split where they meet
+    holders = stored(holders.where("holder IS NOT NULL"), "holders")
+    held = digests.join(holders, "digest", "left").select(
+        "row", "page_id", "url", "size", "sha1", "digest", "holder"
     )
     headers = held.mapInArrow(lambda it: _headers(it, date), HEADERS)
     headers.write.parquet(f"{path}/headers")
@@ -173,24 +184,25 @@ def write_archive(
 def _restored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     unpack = zstandard.ZstdDecompressor()
     for batch in batches:
-        payloads = []
-        for digest, size, packed in zip(
-            *(batch.column(n).to_pylist() for n in ("digest", "size", "payload")), strict=True
+        records, payloads = [], []
+        for digest, header, http_header, size, packed in zip(
+            *(c.to_pylist() for c in batch.columns), strict=True
         ):
             payload = unpack.decompress(packed, max_output_size=size) if size else b""
             if hashlib.sha256(payload).digest() != digest:
                 raise ValueError(f"payload {digest.hex()} is not what its digest says")
+            records.append(record_bytes(header, http_header, payload))
             payloads.append(payload)
-        columns = [batch.column("header"), batch.column("http_header"), pa.array(payloads, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, ["header", "http_header", "payload"])
+        arrays = [pa.array(records, pa.binary()), pa.array(payloads, pa.binary())]
+        yield pa.RecordBatch.from_arrays(arrays, ["record", "payload"])
 
 
 def restore(archive: Archive) -> DataFrame:
-    """Every record: ``header``, ``http_header`` and the full ``payload``, its digest verified.
+    """Every record: its exact bytes as in a WARC file, and the full ``payload``, verified.
 
-    A response in WARC form is the three of them and two line ends; a revisit is the
-    first two, its payload here that of the record it refers to. Headers of one digest
-    can be very many; the skew join splits them.
+    A response's bytes hold the payload, a revisit's only headers; its payload here is that
+    of the record it refers to. Headers of one digest can be very many; the skew join
+    splits them.
     """
     headers = archive.headers.select("digest", "header", "http_header")
     joined = headers.join(archive.payloads, "digest")
@@ -205,6 +217,19 @@ def record_bytes(header: bytes, http_header: bytes, payload: bytes) -> bytes:
     return b"".join([header, http_header, whole, b"\r\n\r\n"])
 
 
+def parse_record(record: bytes) -> tuple[dict[str, str], dict[str, str], bytes]:
+    """A record's WARC fields, its HTTP fields, and what comes after these; ends are checked."""
+    head = record.index(b"\r\n\r\n") + 4
+    if not record.startswith(b"WARC/1."):
+        raise ValueError("no WARC record")
+    fields = _fields(record[:head])
+    end = head + int(fields["Content-Length"])
+    if record[end:] != b"\r\n\r\n":
+        raise ValueError(f"page {fields['WARC-Page-ID']}: wrong length")
+    inside = record.index(b"\r\n\r\n", head, end) + 4
+    return fields, _fields(record[head:inside]), record[inside:end]
+
+
 def _fields(header: bytes) -> dict[str, str]:
     lines = header.decode().split("\r\n")[1:]
     return dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in lines if line)
@@ -219,33 +244,26 @@ def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
     for batch in batches:
         rows = []
-        for header, http_header, payload in zip(
-            *(c.to_pylist() for c in batch.columns), strict=True
-        ):
-            fields = _fields(header)
-            kind, sha1 = fields["WARC-Type"], hashlib.sha1(payload).hexdigest()
-            inside = int(fields["Content-Length"]) - len(http_header)
+        for record, payload in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            fields, http, body = parse_record(record)
+            kind, page = fields["WARC-Type"], fields["WARC-Page-ID"]
+            if body != (payload if kind == "response" else b""):
+                raise ValueError(f"page {page}: wrong payload")
+            if int(http["Content-Length"]) != len(payload):
+                raise ValueError(f"page {page}: wrong payload length")
+            sha1 = hashlib.sha1(payload).hexdigest()
             if f"sha1:{sha1}" != fields["WARC-Payload-Digest"]:
-                raise ValueError(f"page {fields['WARC-Page-ID']}: wrong payload digest")
-            if inside != (len(payload) if kind == "response" else 0):
-                raise ValueError(f"page {fields['WARC-Page-ID']}: wrong length")
-            rows.append(
-                (
-                    _number(fields["WARC-Page-ID"]),
-                    len(payload),
-                    sha1,
-                    kind,
-                    _number(fields.get("WARC-Refers-To-Page-ID", "")),
-                    fields["WARC-Target-URI"],
-                )
-            )
+                raise ValueError(f"page {page}: wrong payload digest")
+            refers_to = _number(fields.get("WARC-Refers-To-Page-ID", ""))
+            uri = fields["WARC-Target-URI"]
+            rows.append((_number(page), len(payload), sha1, kind, refers_to, uri))
         columns = list(zip(*rows, strict=True)) or [()] * 6
         arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
         yield pa.RecordBatch.from_arrays(arrays, names)
 
 
 def read_records(records: DataFrame) -> DataFrame:
-    """What the headers and payloads of restored records say, lengths and digests checked."""
+    """What the bytes of restored records say, parsed; lengths, payloads and digests checked."""
     return records.mapInArrow(_read, READ)
 
 

@@ -105,13 +105,14 @@ WITH records AS (
 ),
 held AS (
     SELECT page_id, coalesce(url, '') AS url, octet_length(bytes) AS payload_bytes,
-        sha1(html) AS payload_digest, max(page_id) OVER (PARTITION BY html) AS holder
+        sha1(html) AS payload_digest, max(page_id) OVER (PARTITION BY html) AS holder,
+        row_number() OVER (PARTITION BY html ORDER BY page_id DESC NULLS LAST) AS place
     FROM records
 )
 SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
-    CASE WHEN payload_bytes >= 1000 AND page_id <> holder THEN 'revisit' ELSE 'response' END
-        AS record_type,
-    CASE WHEN payload_bytes >= 1000 AND page_id <> holder THEN holder END AS refers_to,
+    CASE WHEN payload_bytes >= 1000 AND place > 1 AND holder IS NOT NULL
+        THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN payload_bytes >= 1000 AND place > 1 THEN holder END AS refers_to,
     replace(replace(url, chr(13), '%0D'), chr(10), '%0A') AS url
 FROM held
 """
