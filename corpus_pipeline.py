@@ -7,16 +7,54 @@ documents with benchmark items, and what remains is packed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderstrata.llm import decontaminate, packing, quality, repeats, simhash
 from orderstrata.llm.common import new_folder, stored, unused_name
+from orderstrata.plans.sizing import small_enough
+
+# Bits of a row's number that are its place in its file.
+PLACE_BITS = 40
+
+
+# What a plan may hold for a row's place in its file to be a number of its own.
+ROW_BY_ROW = {"Project", "Filter", "Relation", "SubqueryAlias"}
+
+
+def _only_scans(docs: DataFrame) -> bool:
+    """Whether ``docs`` are rows of files as they are, each once."""
+    plan = docs._jdf.queryExecution().analyzed().toString()
+    return {re.search(r"[A-Za-z]+", line)[0] for line in plan.splitlines()} <= ROW_BY_ROW
 
 
 def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs`` with a number of its own for each row, written, and the number's name."""
-    row = unused_name(docs, "row")
+    """``docs`` with a number of its own for each row, the same in every scan, and its name.
+
+    Rows of Parquet files are numbered by their place in their file and the file's place
+    among all files by name, so that nothing is written; any other frame is written once, with a
+    number each. Files are far fewer than rows, but their names are only sent to all tasks
+    if they are within the size that is allowed for that.
+    """
+    names = ("row", "file", "place", "named", "at")
+    row, file, place, named, at = (unused_name(docs, name) for name in names)
+    if _only_scans(docs):
+        try:
+            placed = docs.withColumns(
+                {file: F.col("_metadata.file_path"), place: F.col("_metadata.row_index")}
+            )
+        except AnalysisException:  # files without such places
+            placed = None
+        files = placed.select(file).distinct() if placed else None
+        if placed and small_enough(files):
+            nth = F.row_number().over(Window.orderBy(named)).cast("long")
+            numbers = files.toDF(named).withColumn(at, nth)
+            met = placed.join(F.broadcast(numbers), F.col(file) == F.col(named))
+            number = F.shiftleft(at, PLACE_BITS).bitwiseOR(F.col(place))
+            return met.select(*docs.columns, number.alias(row)), row
     return stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows"), row
 
 
@@ -27,7 +65,11 @@ def _without(docs: DataFrame, row: str, rows: DataFrame) -> DataFrame:
 
 
 def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that the classifier keeps, each judged for itself."""
+    """Rows that the classifier keeps, each judged for itself.
+
+    NULL texts are judged as empty ones; rows that repeat an id or a text each get a verdict,
+    equal ones the same. Long texts are judged whole. All columns stay, whatever their names.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     docs, row = _numbered(docs)
     judged = quality.judge(docs, labels, row_column=row)
@@ -35,7 +77,11 @@ def classify_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group one row: the smallest id, none last; of one id the least by its text's hash."""
+    """Of each group one row: the smallest id, none last; of one id the least by its text's hash.
+
+    Of equal rows one stays. NULL and empty texts are one group; long texts are compared by all
+    their words. All columns stay, whatever their names.
+    """
     docs, row = _numbered(docs)
     groups = simhash.near_duplicates(docs, id_column=row, shingle=3, distance=2)
     groups = groups.select(F.col("doc_id").alias("member"), "component_id")
@@ -48,14 +94,23 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the passages that an earlier one holds."""
+    """All documents, without the passages that an earlier one holds.
+
+    ``n_chars`` is counted anew, or added. NULL texts stay NULL; rows without an id come after
+    all others; rows of one id don't count against each other. Texts may be of any length.
+    All other columns stay as they are, whatever their names.
+    """
     return repeats.without_repeats(docs, window=50).withColumn(
         "n_chars", F.length("text").cast("long")
     )
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that hold no benchmark item."""
+    """Rows that hold no benchmark item.
+
+    Each goes by its own text, whatever its id; NULL and empty texts hold none and stay, and
+    long ones are searched whole. All columns stay, whatever their names.
+    """
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     docs, row = _numbered(docs)
     leaking = decontaminate.leaks(docs, benchmark, id_column=row)
@@ -63,7 +118,11 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all sequences, token ids included."""
+    """The pieces of all sequences, token ids included.
+
+    Every row is a document of its own, with an end at least: NULL and empty texts, and rows that
+    repeat an id, too; long ones are cut. Other columns than id and text go.
+    """
     return packing.pack(docs, length=2048)
 
 
