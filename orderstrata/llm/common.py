@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import struct
 import uuid
+from collections import defaultdict
 from collections.abc import Iterable
 
 import numpy as np
@@ -11,11 +12,29 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
 from orderstrata.session import shared_folder
+from orderstrata.sources.files import delete
+
+
+_made: dict[str, list[str]] = defaultdict(list)
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path nothing is at yet, in the folder that driver and executors share."""
-    return f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    _made[spark.sparkContext.applicationId].append(path)
+    return path
+
+
+def drop_intermediates(spark: SparkSession) -> int:
+    """Deletes what the operators of this application left in the shared folder; the number.
+
+    Only when no frame that they returned is needed any more: results are lazy and read these
+    tables. Archives and stages that went to a path of :func:`new_folder` go as well.
+    """
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        delete(spark, path)
+    return len(paths)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

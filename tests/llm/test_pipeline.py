@@ -134,3 +134,59 @@ def test_no_documents(spark, docs):
     for _, stage in corpus_pipeline.STAGES:
         none_left = stage(spark, none, SF_DIR)
         assert none_left.collect() == []
+
+
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_rows_of_files_get_the_same_numbers_in_every_scan(spark, docs, tmp_path):
+    docs.repartition(5).write.parquet(str(tmp_path / "docs"))
+    files = spark.read.parquet(str(tmp_path / "docs"))
+    numbered, row = corpus_pipeline._numbered(files.where("doc_id > 20").select("doc_id", "text"))
+    numbers = {r.doc_id: r[row] for r in numbered.collect()}
+    assert len(set(numbers.values())) == len(numbers) == files.where("doc_id > 20").count()
+    assert numbers == {r.doc_id: r[row] for r in numbered.select("doc_id", row).coalesce(1).collect()}
+    plan = numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert "monotonically" not in plan
+
+
+def test_rows_that_come_from_one_place_get_numbers_too(spark, docs):
+    from pyspark.sql import functions as F
+
+    twice = docs.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    for given in (twice, docs.unionAll(docs), docs.limit(10), docs.sample(0.5, 1)):
+        numbered, row = corpus_pipeline._numbered(given)
+        assert numbered.select(row).distinct().count() == numbered.count() > 0
+
+
+def test_stages_with_clashing_names(spark, tmp_path):
+    """Columns named like those that operators make up keep their values."""
+    names = ["row", "_row", "file", "place", "listed", "member", "component_id", "rank", "kept",
+             "repeats", "ranges", "number", "at", "doc", "named", "keep", "good", "host"]
+    text = "a text of some words, told apart by its number and long enough to be kept whole "
+    rows = [(k, f"{text * 3} {k} {k}", "en", "s", 9, *[f"{n}{k}" for n in names]) for k in range(6)]
+    schema = SCHEMA + "".join(f", `{n}` string" for n in names)
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "docs"))
+    given = spark.read.parquet(str(tmp_path / "docs"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        left = stage(spark, given, SF_DIR)
+        assert left.columns == given.columns
+        for r in left.collect():
+            assert all(r[n] == f"{n}{r.doc_id}" for n in names)
+
+
+def test_what_a_run_left_can_be_removed(spark, tmp_path):
+    from pathlib import Path
+
+    from orderstrata.llm import common
+
+    common._made.clear()
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(shared.glob("llm-*"))
+    corpus_pipeline.run(spark, SF_DIR).count()
+    left = set(shared.glob("llm-*")) - before
+    assert len(left) > 5
+    assert common.drop_intermediates(spark) >= len(left)
+    assert not set(shared.glob("llm-*")) - before
+    assert common.drop_intermediates(spark) == 0
