@@ -5,9 +5,10 @@ corpus. So the suffixes to sort are chosen by content. Of the 16-byte grams of a
 50-byte string the one with the least hash is its anchor; equal strings have their
 anchors at equal places. Only anchors whose gram is found in two documents or more go
 on, each with the bytes of the strings it stands for, and one task gets all that share
-a gram: its bucket. There the buckets are refined by sorting on the raw bytes at later
-offsets, eight at a time, each step from the buckets of the step before, until sorting
-order and common prefixes give the bucket of every string.
+a gram: its bucket. There the suffixes on both sides of the gram are sorted by refining
+buckets with pointers: the buckets of the grams at later offsets split those of earlier
+ones, and once split serve the next step, until sorting order and common prefixes give the
+bucket of every string.
 """
 
 from __future__ import annotations
@@ -319,7 +320,7 @@ def _grams_at(rows: np.ndarray, at: int) -> np.ndarray:
 
 
 def _refined(buckets: np.ndarray, later: np.ndarray) -> np.ndarray:
-    """Buckets split by the bytes at a later offset; single ones stay as they are."""
+    """Buckets split by a number of each member, numbered in order."""
     order = np.lexsort((later, buckets))
     b, l = buckets[order], later[order]
     steps = np.concatenate(([False], (b[1:] != b[:-1]) | (l[1:] != l[:-1])))
@@ -328,35 +329,72 @@ def _refined(buckets: np.ndarray, later: np.ndarray) -> np.ndarray:
     return out
 
 
+def _ranked(base: np.ndarray, pointers: np.ndarray) -> np.ndarray:
+    """The first ranks of buckets split by pointers: each part's within its bucket."""
+    split = _refined(base, pointers)
+    ranks = np.argsort(split, kind="stable")
+    starts = _runs(split[ranks])
+    counts = np.diff(np.append(starts, len(ranks)))
+    # a part's rank: its bucket's first rank and the size of the parts before it
+    owner = base[ranks]
+    owner_starts = _runs(owner)
+    before = np.arange(len(ranks)) - np.repeat(
+        owner_starts, np.diff(np.append(owner_starts, len(ranks)))
+    )
+    out = np.empty(len(ranks), np.int64)
+    out[ranks] = owner + np.repeat(before[starts], counts)
+    return out
+
+
+def _pointers(suffixes: np.ndarray) -> np.ndarray:
+    """For each suffix the buckets of the eight-byte grams at its offsets 0, 8, 16, ...
+
+    One numbering for all offsets, in the order of the grams: these are the buckets that the
+    suffixes at those offsets belong to.
+    """
+    grams = [_grams_at(suffixes, at) for at in range(0, suffixes.shape[1], 8)]
+    _, ids = np.unique(np.concatenate(grams), return_inverse=True)
+    return ids.reshape(len(grams), -1).T
+
+
+def _doubled(pointers: np.ndarray) -> np.ndarray:
+    """Buckets of twice the length: each by its own and the one that follows on it.
+
+    ``pointers`` holds the buckets at offsets 0, n, 2n, ...; what comes back, at 0, 2n, ...,
+    is again one numbering for all of them, so that the next doubling can follow it.
+    """
+    if pointers.shape[1] % 2:  # nothing follows on the last one
+        pointers = np.pad(pointers, ((0, 0), (0, 1)), constant_values=-1)
+    most = int(pointers.max()) + 2
+    pairs = pointers[:, ::2] * most + pointers[:, 1::2] + 1
+    _, ids = np.unique(pairs, return_inverse=True)
+    return ids.reshape(pairs.shape)
+
+
 def _sorted_suffixes(buckets: np.ndarray, suffixes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The order of the suffixes within their buckets, and each one's common prefix.
 
-    The prefix is that with the one before; -1 where another initial bucket starts.
+    The prefix is that with the one before; -1 where another initial bucket starts. Buckets
+    are refined by pointers: first by the buckets of the eight-byte grams that the suffixes
+    begin with, then by the bucket of the suffix eight bytes on, and, as those at later offsets
+    are refined in the same step, by that sixteen and then thirty-two bytes on. A bucket of
+    one is in its place, and its pointers are followed no further.
     """
-    ids = buckets
-    open_ = np.arange(len(ids))
-    base = np.zeros(len(ids), np.int64)
+    base = np.zeros(len(buckets), np.int64)
     # `base` is the first rank of a bucket: a split bucket's parts get ranks inside it
-    order = np.argsort(ids, kind="stable")
-    base[order] = np.repeat(_runs(ids[order]), np.diff(np.append(_runs(ids[order]), len(ids))))
-    for at in range(0, suffixes.shape[1], 8):
-        sizes = np.bincount(base, minlength=len(ids))
-        open_ = open_[sizes[base[open_]] > 1]  # a bucket of one is in its place
-        if not len(open_):
+    order = np.argsort(buckets, kind="stable")
+    starts = _runs(buckets[order])
+    base[order] = np.repeat(starts, np.diff(np.append(starts, len(order))))
+    open_ = np.flatnonzero(np.bincount(base, minlength=len(base))[base] > 1)
+    pointers = _pointers(suffixes[open_]) if len(open_) else None
+    while len(open_):
+        base[open_] = _ranked(base[open_], pointers[:, 0])
+        still = np.bincount(base, minlength=len(base))[base[open_]] > 1
+        if pointers.shape[1] == 1:
             break
-        split = _refined(base[open_], _grams_at(suffixes[open_], at))
-        ranks = np.argsort(split, kind="stable")
-        starts = _runs(split[ranks])
-        counts = np.diff(np.append(starts, len(ranks)))
-        # rank of a part: its bucket's first rank and the size of the parts before it
-        owner = base[open_][ranks]
-        owner_starts = _runs(owner)
-        before = np.arange(len(ranks)) - np.repeat(
-            owner_starts, np.diff(np.append(owner_starts, len(ranks)))
-        )
-        refined = np.empty(len(ranks), np.int64)
-        refined[ranks] = owner + np.repeat(before[starts], counts)
-        base[open_] = refined
+        open_, pointers = open_[still], pointers[still]
+        if len(open_):
+            pointers = _doubled(pointers)
     order = np.argsort(base, kind="stable")
     same = suffixes[order[1:]] == suffixes[order[:-1]]
     common = np.where(same.all(axis=1), suffixes.shape[1], np.argmin(same, axis=1))

@@ -172,6 +172,38 @@ LEFT JOIN children c ON c.prefix = n.prefix
 LEFT JOIN ends e ON e.prefix = n.prefix
 """
 
+# Bytes as two hexadecimal digits each; every string of 50 bytes by its digest.
+_REPEATS = """
+WITH docs AS (
+    SELECT row_number() OVER () AS doc, doc_id, coalesce(doc_id, 9223372036854775807) AS id,
+        hex(encode(coalesce(text, ''))) AS digits
+    FROM documents
+),
+strings AS (
+    SELECT doc, id, place, md5(substr(digits, 2 * place + 1, 100)) AS string
+    FROM (SELECT doc, id, digits, unnest(range(length(digits) // 2 - 49)) AS place FROM docs)
+),
+firsts AS (SELECT string, min(id) AS first FROM strings GROUP BY string HAVING min(id) < max(id)),
+gone AS (SELECT doc, place FROM strings JOIN firsts USING (string) WHERE first < id),
+spans AS (
+    SELECT doc, min(place) AS low, max(place) + 50 AS high FROM (
+        SELECT doc, place, sum(opens) OVER (PARTITION BY doc ORDER BY place) AS span FROM (
+            SELECT doc, place, (coalesce(place - lag(place) OVER
+                (PARTITION BY doc ORDER BY place), 51) > 50)::INTEGER AS opens FROM gone))
+    GROUP BY doc, span
+),
+pieces AS (
+    SELECT doc, string_agg(substr(digits, 2 * past + 1, 2 * (low - past)), '' ORDER BY low) AS kept,
+        sum(high - low) AS n_removed, count(*) AS n_spans, max(high) AS last
+    FROM (SELECT *, coalesce(lag(high) OVER (PARTITION BY doc ORDER BY low), 0) AS past FROM spans)
+    JOIN docs USING (doc) GROUP BY doc
+)
+SELECT doc_id, (length(digits) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+    coalesce(n_spans, 0)::BIGINT AS n_spans,
+    sha256(unhex(coalesce(kept || substr(digits, 2 * last + 1), digits))) AS kept_sha256
+FROM docs LEFT JOIN pieces USING (doc)
+"""
+
 _SPANS = """
 WITH docs AS (
     SELECT row_number() OVER () AS doc, doc_id, w FROM (SELECT doc_id,
@@ -230,6 +262,7 @@ WHERE rank <= 10
 
 ORACLE_SQL = {
     "op1_chat_format": _CHAT,
+    "op2_suffix_array_dedup": _REPEATS,
     "op4_benchmark_decontamination": _LEAKS,
     "op6_nearest_neighbours": _NEAREST,
     "op8_license_scan": _LICENSES,

@@ -119,6 +119,30 @@ def test_a_batch_sends_each_context_once_however_it_is_chunked(monkeypatch):
     assert sum(len(ids) for _, ids in whole.values()) < len(found.hashes) / 3
 
 
+@pytest.mark.parametrize("width", [1, 7, 8, 9, 16, 34, 50, 100])
+def test_pointers_sort_suffixes(width):
+    import numpy as np
+
+    rng = random.Random(width)
+    texts = [bytes(rng.choices(b"ab\x00\xff", k=width)) for _ in range(300)]
+    for _ in range(300):  # long common prefixes, and copies
+        text = bytearray(rng.choice(texts))
+        if rng.random() < 0.7:
+            text[rng.randrange(width)] = rng.choice(b"ab")
+        texts.append(bytes(text))
+    suffixes = np.frombuffer(b"".join(texts), np.uint8).reshape(-1, width)
+    buckets = np.array([rng.randrange(3) for _ in texts])
+    order, common = repeats._sorted_suffixes(buckets, suffixes)
+    rows = [(int(buckets[k]), texts[k]) for k in order]
+    assert rows == sorted(rows)
+    for (b, one), (c, two), prefix in zip(rows, rows[1:], common[1:].tolist(), strict=False):
+        shared = next((k for k in range(width) if one[k] != two[k]), width)
+        assert prefix == (shared if b == c else -1)
+    assert common[0] == -1
+    none = repeats._sorted_suffixes(buckets[:0], suffixes[:0])
+    assert len(none[0]) == 0
+
+
 def test_odd_rows_and_names(spark):
     passage = "A passage of more than fifty bytes, which several rows hold: é."
     rows = [(1, None, 0), (None, passage, 1), (2, passage, 2), (2, passage, 3), (3, "", 4),
