@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderstrata.llm.common import stored
+from orderstrata.llm.common import new_folder, stored
 
 # Words that the model predicts one by one; the others are one class, shared out by count.
 CLASSES = 1024
@@ -23,6 +23,12 @@ LISTED_BYTES = 256
 # Distinct words that a task counts before it sends them on.
 COUNTED_AT_ONCE = 1 << 19
 PARTS_OF_MEANS = 64
+# Rounds of training, each on so many times the texts of the one before, all of them once.
+ROUNDS = 12
+GROWTH = 1.4
+# Texts, and bytes of each at most, that only tell how far a round's moves are followed.
+STEP_TEXTS = 256
+STEP_BYTES = 1 << 15
 
 REST, EDGE = 0, 1
 END = b""  # the token after a text; no word is empty
@@ -80,12 +86,16 @@ class Model:
 class Trainer:
     """Noise-contrastive estimation by AdaGrad, with the noise words shared in a batch."""
 
-    def __init__(self, model: Model, counts: np.ndarray, rate: float, seed: int):
+    def __init__(
+        self, model: Model, counts: np.ndarray, rate: float, seed: int, squares: np.ndarray | None = None
+    ):
         self.model, self.rate = model, rate
         self.noise = counts / counts.sum()
         self.log_noise = np.log(self.noise * NOISE)
         self.rng = np.random.default_rng(seed)
-        self.squares = [np.full_like(a, 1e-8) for a in vars(model).values()]
+        if squares is None:
+            squares = np.full(len(model.flat()), 1e-8)
+        self.squares = [a.copy() for a in vars(model.filled(squares)).values()]
 
     def _step(self, k: int, array: np.ndarray, gradient: np.ndarray) -> None:
         self.squares[k] += gradient * gradient
@@ -210,13 +220,19 @@ def vocabulary(texts: DataFrame) -> tuple[DataFrame, Vocabulary]:
 
 
 def _trained(
-    batches: Iterable[pa.RecordBatch], vocabulary: Vocabulary, size: int, rate: float, seed: int
+    batches: Iterable[pa.RecordBatch],
+    vocabulary: Vocabulary,
+    start: Model,
+    squares: np.ndarray,
+    rate: float,
+    seed: int,
 ) -> Iterator[pa.RecordBatch]:
-    """This task's own model, after all of its tokens, and how many those were."""
+    """How far this task's texts move the model, with their squared gradients and tokens."""
     class_of = dict(zip(vocabulary.words, vocabulary.classes().tolist(), strict=True))
     own = {w: c for w, c in class_of.items() if c != REST}
     counts = vocabulary.class_counts()
-    trainer = Trainer(Model.start(counts, size, seed), counts, rate, seed)
+    number = TaskContext.get().partitionId()
+    trainer = Trainer(start.filled(start.flat()), counts, rate, seed + number, squares)
     held: list[np.ndarray] = []
     seen = 0
 
@@ -244,17 +260,16 @@ def _trained(
                 learn(False)
                 waiting = 0
     learn(True)
-    number = TaskContext.get().partitionId()
     if seen:
-        flat = trainer.model.flat().astype("<f8").tobytes()
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([number % PARTS_OF_MEANS], pa.int64()),
-                pa.array([seen], pa.int64()),
-                pa.array([flat], pa.binary()),
-            ],
-            ["part", "tokens", "model"],
-        )
+        moved = trainer.model.flat() - start.flat()
+        added = np.concatenate([a.reshape(-1) for a in trainer.squares]) - squares
+        yield _moves(number % PARTS_OF_MEANS, 1, moved, added)
+
+
+def _moves(part: int, tasks: int, moved: np.ndarray, added: np.ndarray) -> pa.RecordBatch:
+    arrays = [pa.array([part], pa.int64()), pa.array([tasks], pa.int64())]
+    arrays += [pa.array([a.astype("<f8").tobytes()], pa.binary()) for a in (moved, added)]
+    return pa.RecordBatch.from_arrays(arrays, ["part", "tasks", "moved", "added"])
 
 
 def _predicted(tokens: np.ndarray) -> np.ndarray:
@@ -266,38 +281,96 @@ def _predicted(tokens: np.ndarray) -> np.ndarray:
     return predicted
 
 
-def _mean(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The mean of the models that come in, by their tokens, one after another."""
-    total, tokens = None, 0
-    for batch in batches:
-        for n, model in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
-            flat = np.frombuffer(model.as_py(), "<f8") * n
-            total = flat if total is None else total + flat
-            tokens += n
-    if tokens:
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([0], pa.int64()),
-                pa.array([tokens], pa.int64()),
-                pa.array([(total / tokens).astype("<f8").tobytes()], pa.binary()),
-            ],
-            ["part", "tokens", "model"],
-        )
+MOVES = "part long, tasks long, moved binary, added binary"
+
 
+def _weight(squares: np.ndarray, added: np.ndarray) -> np.ndarray:
+    """What AdaGrad divided a task's moves by, at its end."""
+    return np.sqrt(squares + added)
 
-def train(texts: DataFrame, words: Vocabulary, size: int = 16, rate: float = 0.04) -> Model:
-    """Each task trains on all of its texts from the same start; the mean is the model.
 
-    Means are taken in 64 tasks first, so that the driver adds up 64 models at most.
+def _sum_of_moves(batches: Iterable[pa.RecordBatch], squares: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The sums of what comes in, moves as plain gradients again; one after another."""
+    moved, added, tasks = 0.0, 0.0, 0
+    for batch in batches:
+        for n, move, add in zip(batch.column(1).to_pylist(), *batch.columns[2:], strict=True):
+            move, add = (np.frombuffer(a.as_py(), "<f8") for a in (move, add))
+            moved, added, tasks = moved + move * _weight(squares, add), added + add, tasks + n
+    if tasks:
+        yield _moves(0, tasks, moved, added)
+
+
+def _classes(text: bytes, class_of: dict[bytes, int]) -> np.ndarray:
+    """A text as classes: its two edges before it, its words, and the edge that ends it."""
+    words = text.lower().split()
+    return np.array([EDGE, EDGE, *[class_of.get(w, REST) for w in words], EDGE], np.int64)
+
+
+def _likelihood(model: Model, texts: list[np.ndarray]) -> float:
+    """The sum of the normalised log probabilities of some texts' classes."""
+    (near, far), log_z = model.tables()
+    total = 0.0
+    for c in texts:
+        v, u, w = c[:-2], c[1:-1], c[2:]
+        total += float((near[u, w] + far[v, w] - log_z[u, v]).sum())
+    return total
+
+
+def _by_round(texts: DataFrame, rounds: int) -> DataFrame:
+    """Texts and the round they belong to, by hash; a folder for each, read only in its round."""
+    sizes = GROWTH ** np.arange(rounds)
+    ends = np.cumsum(sizes / sizes.sum())[:-1]
+    place = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) / float(1 << 20)
+    number = sum((F.when(place >= end, 1).otherwise(0) for end in ends.tolist()), F.lit(0))
+    path = new_folder(texts.sparkSession, "rounds")
+    texts.withColumn("round", number).write.partitionBy("round").parquet(path)
+    return texts.sparkSession.read.schema("text string, round int").parquet(path)
+
+
+def train(
+    texts: DataFrame, words: Vocabulary, size: int = 16, rate: float = 0.04, rounds: int = ROUNDS
+) -> Model:
+    """Tasks train side by side in rounds, each round from what the last one came to.
+
+    Every text is learnt from once: a round takes, by hash, some more than the one before. At
+    its end the moves of all tasks are added up as if one task had made them, each divided by
+    the squared gradients of all (AdaGrad). Many long ways in the same direction lead too
+    far together, so that the sum is followed all the way, half, a quarter of it and so on,
+    down to one task's share, whichever makes the texts of a small sample likeliest, or not at
+    all. So a model that many tasks make comes near that of one that reads everything.
+
+    Sums are taken in 64 tasks first; the driver adds up 64 of them at most.
     """
-    schema = "part long, tokens long, model binary"
-    start = Model.start(words.class_counts(), size, seed=0)
-    models = texts.mapInArrow(lambda it: _trained(it, words, size, rate, 0), schema)
-    means = models.repartition(PARTS_OF_MEANS, "part").mapInArrow(_mean, schema).collect()
-    if not means:
-        return start
-    flats = [np.frombuffer(bytes(r.model), "<f8") * r.tokens for r in means]
-    return start.filled(np.sum(flats, axis=0) / sum(r.tokens for r in means))
+    counts = words.class_counts()
+    class_of = dict(zip(words.words, words.classes().tolist(), strict=True))
+    short = texts.where(F.octet_length("text") <= STEP_BYTES)
+    sample = short.orderBy(F.xxhash64("text"), "text").limit(STEP_TEXTS).collect()
+    sample = [_classes(r.text.encode(), class_of) for r in sample]
+    model = Model.start(counts, size, seed=0)
+    squares = np.full(len(model.flat()), 1e-8)
+    given = _by_round(texts, rounds)
+    likely = _likelihood(model, sample)
+    for number in range(rounds):
+        moves = given.where(F.col("round") == number).select("text").mapInArrow(
+            lambda it, at=(model, squares, rate, number << 32): _trained(it, words, *at), MOVES
+        )
+        sums = moves.repartition(PARTS_OF_MEANS, "part").mapInArrow(
+            lambda it, at=squares: _sum_of_moves(it, at), MOVES
+        )
+        rows = sums.collect()
+        if not rows:
+            continue
+        tasks = sum(r.tasks for r in rows)
+        added = sum(np.frombuffer(bytes(r.added), "<f8") for r in rows)
+        moved = sum(np.frombuffer(bytes(r.moved), "<f8") for r in rows) / _weight(squares, added)
+        shares = [2.0**-k for k in range(max(1, tasks).bit_length())]
+        tried = [model.filled(model.flat() + share * moved) for share in shares]
+        likelihoods = [_likelihood(m, sample) for m in tried]
+        best = int(np.argmax(likelihoods))
+        if likelihoods[best] > likely or not sample:
+            model, likely = tried[best], likelihoods[best]
+        squares = squares + added
+    return model
 
 
 SCORED = (

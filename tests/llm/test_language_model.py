@@ -119,3 +119,63 @@ def test_all_words_share_the_probability():
     assert vocabulary.classes().tolist() == [2, 3, 4, lm.EDGE]
     counts = vocabulary.class_counts()
     assert counts[:6].tolist() == [7, 5, 6, 4, 3, 1]
+
+
+def _gain(spark, rows, partitions):
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(partitions, "doc_id")
+    out = [r for r in lm.score(docs).collect() if r.held_out]
+    return sum(r.score - r.base_score for r in out) / sum(r.n_tokens for r in out)
+
+
+def test_many_tasks_learn_about_as_much_as_one(spark):
+    rows = _grammar(9000)
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))  # a task for each file
+    try:
+        one, many = _gain(spark, rows, 1), _gain(spark, rows, 16)
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert one > 0.1 and many > 0.8 * one
+
+
+def test_scores_by_hand(spark, monkeypatch):
+    """Every token's probability from the model's numbers, one by one."""
+    rows = _grammar(60) + [(70, "w1 W2 rare1 nowhere"), (71, None), (72, "w3")]
+    kept = {}
+
+    def train(texts, words, size):
+        rng = np.random.default_rng(8)
+        model = lm.Model.start(words.class_counts(), size, 2)
+        model.target += rng.normal(0, 0.5, model.target.shape)
+        model.bias += rng.normal(0, 0.5, model.bias.shape)
+        kept.update(model=model, words=words)
+        return model
+
+    monkeypatch.setattr(lm, "train", train)
+    found = {r.doc_id: r.score for r in lm.score(spark.createDataFrame(rows, SCHEMA), size=4).collect()}
+    model, words = kept["model"], kept["words"]
+    counts = Counter(t for doc, text in rows if not _held_out(doc) for t in _tokens(text))
+    class_of = dict(zip(words.words, words.classes().tolist(), strict=True))
+    rest = [w for w in counts if class_of.get(w, lm.REST) == lm.REST]
+    rest_size = sum(counts[w] + 1 for w in rest) + 1
+    for doc, text in rows:
+        tokens = _tokens(text)
+        places = [lm.EDGE if t == b"" else class_of.get(t, lm.REST) for t in tokens]
+        u = v = lm.EDGE
+        total = 0.0
+        for token, w in zip(tokens, places, strict=True):
+            guess = model.context[u] * model.places[0] + model.context[v] * model.places[1]
+            energies = model.target @ guess + model.bias
+            p = math.exp(energies[w]) / np.exp(energies).sum()
+            if w == lm.REST:
+                p *= (counts[token] + 1) / rest_size
+            total += math.log10(p)
+            u, v = w, u
+        assert found[doc] == pytest.approx(total, rel=1e-9)
+
+
+def test_each_text_is_learnt_from_in_one_round(spark):
+    texts = spark.range(3000).selectExpr("concat('text ', id) AS text").repartition(4)
+    given = lm._by_round(texts, lm.ROUNDS)
+    sizes = [given.where(f"round = {k}").count() for k in range(lm.ROUNDS)]
+    assert sum(sizes) == 3000 and sizes[0] < sizes[-1] / 20
+    assert given.select("text").distinct().count() == 3000
