@@ -19,6 +19,8 @@ QUERIES_AT_ONCE = 128
 ROWS_PER_BLOCK = 8192
 # Candidate blocks that one task compares with a block of queries, one after another.
 BLOCKS_PER_TASK = 4
+# Blocks of queries that go past the same copy of candidate blocks.
+ASKED_TOGETHER = 64
 
 BLOCKS = "block long, size int, ids binary, vectors binary, codes binary, scales binary"
 FOUND = "query_id long, vec_id long, score double"
@@ -177,8 +179,10 @@ def nearest(
     columns play no part. An empty table gives an empty one.
 
     Queries and candidates are cut into blocks of bounded size. Each block of queries is
-    sent to every group of four candidate blocks, and one task brings a group through the
-    heaps of a block of queries, so what travels is the blocks, never pairs of rows.
+    sent to every group of four candidate blocks; these stay where they are but for a copy for
+    every 64 blocks of queries, which bounds what one task has to do. It brings its candidates
+    through the heaps of one block of queries after the other, so what travels is blocks,
+    never pairs of rows.
     """
     rows = vectors.select(
         F.col(id_column).cast("long"), F.col(vector_column), is_query
@@ -190,22 +194,24 @@ def nearest(
     q_blocks, blocks = _block_count(counts.q, QUERIES_PER_BLOCK), _block_count(counts.n, ROWS_PER_BLOCK)
     parts = ceil(blocks / BLOCKS_PER_TASK)
     columns = ("ids", "vectors", "codes", "scales")
+    groups = ceil(q_blocks / ASKED_TOGETHER)
     asks = _blocks(asking, q_blocks).select(
         "size",
         F.col("block").alias("asking"),
+        F.expr(f"CAST(block DIV {ASKED_TOGETHER} AS BIGINT)").alias("group"),
         F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"),
         *[F.col(c).alias(f"q_{c}") for c in columns],
     )
     offers = stored(_blocks(rows, blocks), "vectors").select(
         "size",
-        F.explode(F.sequence(*(F.lit(n).cast("long") for n in (0, q_blocks - 1)))).alias("asking"),
+        F.explode(F.sequence(*(F.lit(n).cast("long") for n in (0, groups - 1)))).alias("group"),
         F.pmod("block", F.lit(parts)).cast("int").alias("part"),
         *columns,
     )
-    key = ["size", "asking", "part"]
+    key = ["size", "group", "part"]
     # sorted for the heaps of one block at a time; a block met twice is merged below
-    tiles = asks.join(offers, key).sortWithinPartitions(*key)
-    found = tiles.select(*key, *[f"q_{c}" for c in columns], *columns).mapInArrow(
+    tiles = asks.join(offers, key).sortWithinPartitions(*key, "asking")
+    found = tiles.select("size", "asking", "part", *[f"q_{c}" for c in columns], *columns).mapInArrow(
         lambda it: _search(it, k, kind), FOUND
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -35,6 +35,7 @@ def test_nearest(spark, kind, monkeypatch):
     monkeypatch.setattr(neighbours, "QUERIES_PER_BLOCK", 16)
     monkeypatch.setattr(neighbours, "ROWS_PER_BLOCK", 40)
     monkeypatch.setattr(neighbours, "BLOCKS_PER_TASK", 2)
+    monkeypatch.setattr(neighbours, "ASKED_TOGETHER", 3)
     rng = np.random.default_rng(0)
     vectors = rng.normal(size=(300, 6)).astype(np.float32)
     vectors[50:90] = vectors[10]  # ties
