@@ -33,6 +33,10 @@ WINDOWS_AT_ONCE = 1 << 20
 ANCHORS_AT_ONCE = 1 << 16
 BUCKET_BYTES = 8 << 20
 PLACE_BITS = np.uint64(24)
+# A gram at more places than these has its strings taken apart: into groups of seven offsets of
+# the gram, beyond the second number into single offsets.
+HOT_PLACES = (1 << 15, 1 << 19)
+OFFSETS_TOGETHER = {2: 7, 3: 1}
 MULTIPLIERS = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)]
 NO_ID = np.iinfo(np.int64).max
 
@@ -169,7 +173,7 @@ def _found(rows: pa.RecordBatch, key: int, text: int, window: int) -> _Found:
 def _send_hashes(
     batches: Iterable[pa.RecordBatch], key: int, text: int, window: int, buckets: int
 ) -> Iterator[pa.RecordBatch]:
-    """Per bucket each distinct gram of a batch, with the least and the greatest id."""
+    """Per bucket each distinct gram of a batch, with its least and greatest id and places."""
     for batch in batches:
         for number, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             found = _found(batch_rows(raw.as_py()), key, text, window)
@@ -177,32 +181,52 @@ def _send_hashes(
                 continue
             least = np.minimum.reduceat(found.ids, found.starts)
             most = np.maximum.reduceat(found.ids, found.starts)
+            places = np.diff(np.append(found.starts, len(found.hashes)))
             grams, rows = found.hashes[found.starts], []
             for bucket, a, b in _parts(grams, buckets):
                 steps = np.diff(grams[a:b], prepend=np.uint64(0))
-                rows.append((bucket, number, pack([steps, least[a:b], most[a:b] - least[a:b]])))
+                sent = [steps, least[a:b], most[a:b] - least[a:b], places[a:b]]
+                rows.append((bucket, number, pack(sent)))
             yield _blobs(rows)
 
 
-def _mark_shared(table: pa.Table) -> pa.Table:
-    """For each gram sent, whether two documents or more hold it; in the order sent."""
+def _mark_shared(table: pa.Table, hot: tuple[int, int] = HOT_PLACES) -> pa.Table:
+    """For each gram sent, in the order sent, 0 if one document has it alone, 1 if several do.
+
+    2 or 3 if it is at so many places that its strings are to be taken apart.
+    """
     blobs = [unpack(b.as_py()) for b in table.column("blob")]
     sizes = [len(b[0]) for b in blobs]
     grams = np.concatenate([np.cumsum(b[0], dtype=np.uint64) for b in blobs])
     least = np.concatenate([b[1] for b in blobs])
     most = np.concatenate([b[1] + b[2] for b in blobs])
+    places = np.concatenate([b[3] for b in blobs])
     order = np.argsort(grams)
     starts = _runs(grams[order])
     shared = np.minimum.reduceat(least[order], starts) < np.maximum.reduceat(most[order], starts)
-    marks = np.empty(len(grams), bool)
-    marks[order] = np.repeat(shared, np.diff(np.append(starts, len(grams))))
+    total = np.add.reduceat(places[order], starts)
+    levels = np.where(shared, 1 + (total > hot[0]) + (total > hot[1]), 0).astype(np.uint8)
+    marks = np.empty(len(grams), np.uint8)
+    marks[order] = np.repeat(levels, np.diff(np.append(starts, len(grams))))
     parts = np.split(marks, np.cumsum(sizes)[:-1])
-    bits = pa.array([np.packbits(p).tobytes() for p in parts], pa.binary())
+    bits = pa.array([_packed_levels(p) for p in parts], pa.binary())
     return pa.table(
         {"bucket": table.column("bucket"), "batch_id": table.column("batch_id"), "blob": bits}
     )
 
 
+def _packed_levels(levels: np.ndarray) -> bytes:
+    """The low bits of all, then the high ones if there are any."""
+    low = np.packbits(levels & 1).tobytes()
+    return low + np.packbits(levels >> 1).tobytes() if (levels > 1).any() else low
+
+
+def _levels(packed: bytes, count: int) -> np.ndarray:
+    raw, half = np.frombuffer(packed, np.uint8), (count + 7) // 8
+    low, high = np.unpackbits(raw[:half])[:count], np.unpackbits(raw[half:])[:count]
+    return low + 2 * high if len(high) else low
+
+
 # --- strings of shared anchors --------------------------------------------------------
 
 
@@ -262,8 +286,8 @@ def _shared_contexts(found: _Found, marks: dict[int, bytes], window: int, bucket
     listed, kept = [], []
     for bucket, a, b in _parts(found.hashes[found.starts], buckets):
         if bucket in marks:
-            bits = np.unpackbits(np.frombuffer(marks[bucket], np.uint8))[: b - a]
-            wanted = np.repeat(bits.astype(bool), np.diff(bounds[a : b + 1]))
+            shared = _levels(marks[bucket], b - a) == 1
+            wanted = np.repeat(shared, np.diff(bounds[a : b + 1]))
             listed.append(bucket)
             kept.append(np.flatnonzero(wanted) + bounds[a])
     around = _around(found.data, window)
@@ -284,6 +308,81 @@ def _shared_contexts(found: _Found, marks: dict[int, bytes], window: int, bucket
         yield listed[a:b], cuts, rows[first], least, anchors, which
 
 
+@dataclass
+class _Split:
+    """Strings of some hot grams, taken apart; as :func:`_shared_contexts`, and their windows."""
+
+    listed: list[int]
+    cuts: np.ndarray
+    rows: np.ndarray
+    least: np.ndarray
+    which: np.ndarray
+    anchors: np.ndarray
+    firsts: np.ndarray
+    lasts: np.ndarray
+
+
+def _hot_grams(found: _Found, marks: dict[int, bytes], buckets: int) -> Iterator[tuple]:
+    """Hot grams of a batch with their levels, some at a time."""
+    grams, levels = found.hashes[found.starts], np.zeros(len(found.starts), np.uint8)
+    for bucket, a, b in _parts(grams, buckets):
+        if bucket in marks:
+            levels[a:b] = _levels(marks[bucket], b - a)
+    hot = np.flatnonzero(levels > 1)
+    places = np.diff(np.append(found.starts, len(found.hashes)))[hot]
+    for a, b in _chunks((places * 16).tolist()):
+        yield grams[hot[a:b]], levels[hot[a:b]]
+
+
+def _split_contexts(
+    found: _Found, grams: np.ndarray, levels: np.ndarray, window: int, buckets: int
+) -> _Split:
+    """Strings of hot grams by groups of offsets of the gram.
+
+    All windows of a group have most of their bytes in common, and these decide the bucket, not
+    the gram alone: surroundings that differ go to differing buckets. Buckets of this kind
+    are numbered after the usual ones. The same grams give the same strings in the same order.
+    """
+    at = np.searchsorted(found.hashes[found.starts], grams)
+    bounds = np.append(found.starts, len(found.hashes))
+    around, reach = _around(found.data, window), window - GRAM
+    rows, keys, anchors, firsts, lasts = [], [], [], [], []
+    for level, width in OFFSETS_TOGETHER.items():
+        of_level = [np.arange(bounds[g], bounds[g + 1]) for g in at[levels == level]]
+        if not of_level:
+            continue
+        own = np.concatenate(of_level)
+        place = found.places[own]
+        for low in range(0, reach + 1, width):
+            high = min(low + width - 1, reach)
+            least = np.maximum(place - found.lasts[own], low)
+            most = np.minimum(place - found.firsts[own], high)
+            live = np.flatnonzero(least <= most)
+            if not len(live):
+                continue
+            first, last = place[live] - most[live], place[live] - least[live]
+            part = _contexts(around, place[live], first, last, window)
+            core = part[:, reach - low : reach - high + window].astype(np.uint64)
+            powers = np.cumprod(np.full(core.shape[1], MULTIPLIERS[0]))
+            rows.append(part)
+            keys.append(_mixed((core + np.uint64(1)) @ powers))
+            anchors.append(own[live])
+            firsts.append(first)
+            lasts.append(last)
+    rows, keys, anchors, firsts, lasts = map(np.concatenate, (rows, keys, anchors, firsts, lasts))
+    first, which = _distinct_rows(rows)
+    bucket = ((keys[first] >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    order = np.argsort(bucket, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    first, which, bucket = first[order], rank[which], bucket[order].astype(np.int64)
+    least = np.full(len(first), NO_ID)
+    np.minimum.at(least, which, found.ids[anchors])
+    cuts = np.append(_runs(bucket), len(bucket))
+    listed = (bucket[cuts[:-1]] + buckets).tolist()
+    return _Split(listed, cuts, rows[first], least, which, anchors, firsts, lasts)
+
+
 def _send_contexts(
     batches: Iterable[pa.RecordBatch], key: int, text: int, window: int, buckets: int
 ) -> Iterator[pa.RecordBatch]:
@@ -306,6 +405,13 @@ def _send_contexts(
                         blobs.append((bucket, number, pack([rows[cut].reshape(-1), least[cut], mark])))
                 if blobs:
                     yield _blobs(blobs)
+            for grams, levels in _hot_grams(found, marks, buckets):
+                split = _split_contexts(found, grams, levels, window, buckets)
+                blobs = []
+                for bucket, a, b in zip(split.listed, split.cuts, split.cuts[1:], strict=False):
+                    sent = [split.rows[a:b].reshape(-1), split.least[a:b], grams, levels]
+                    blobs.append((bucket, number, pack(sent)))
+                yield _blobs(blobs)
 
 
 # --- buckets and their refinement ------------------------------------------------------
@@ -465,7 +571,9 @@ def _refine_bucket(table: pa.Table, window: int) -> pa.Table:
     rows = []
     for k, number in enumerate(table.column("batch_id").to_pylist()):
         bits = np.packbits(gone[sizes[k] : sizes[k + 1]], axis=1)
-        rows.append((table.column("bucket")[k].as_py(), number, pack([bits.reshape(-1), blobs[k][2]])))
+        rows.append(
+            (table.column("bucket")[k].as_py(), number, pack([bits.reshape(-1), *blobs[k][2:]]))
+        )
     return pa.Table.from_batches([_blobs(rows)])
 
 
@@ -476,22 +584,45 @@ def _ranges(
     found: _Found, replies: list[dict], window: int, buckets: int
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Starts and ends of what is to go from a batch, by what the buckets said."""
-    offsets = window - GRAM + 1
-    bits, marks = {}, {}
+    bits, marks, split = {}, {}, {}
     for reply in replies:
-        bits[reply["bucket"]], mark = unpack(reply["blob"])
-        marks[reply["bucket"]] = mark.tobytes()
+        gone, *rest = unpack(reply["blob"])
+        if len(rest) == 1:
+            bits[reply["bucket"]], marks[reply["bucket"]] = gone, rest[0].tobytes()
+        else:
+            split.setdefault(rest[0].tobytes(), (rest, {}))[1][reply["bucket"]] = gone
     for listed, _, rows, least, anchors, which in _shared_contexts(found, marks, window, buckets):
-        packed = np.concatenate([bits[b] for b in listed]).reshape(len(rows), -1)
-        gone = np.unpackbits(packed, axis=1)[:, :offsets].astype(bool)
-        whole = (gone == _live(rows, window)).all(axis=1)
-        # a context that the batch itself has under a smaller id goes whole as well
-        later = (found.ids[anchors] > least[which]) | whole[which]
-        yield found.firsts[anchors[later]], found.lasts[anchors[later]] + window
-        rest = np.flatnonzero(~later & gone.any(axis=1)[which])
-        at, offset = np.nonzero(gone[which[rest]])
-        starts = found.places[anchors[rest[at]]] - offset
-        yield starts, starts + window
+        said = np.concatenate([bits[b] for b in listed])
+        whole = found.firsts[anchors], found.lasts[anchors]
+        yield from _told(found, rows, least, anchors, which, whole, said, window)
+    for (grams, levels), said in split.values():
+        s = _split_contexts(found, grams, levels, window, buckets)
+        said = np.concatenate([said[b] for b in s.listed])
+        whole = s.firsts, s.lasts
+        yield from _told(found, s.rows, s.least, s.anchors, s.which, whole, said, window)
+
+
+def _told(
+    found: _Found,
+    rows: np.ndarray,
+    least: np.ndarray,
+    anchors: np.ndarray,
+    which: np.ndarray,
+    whole: tuple[np.ndarray, np.ndarray],
+    said: np.ndarray,
+    window: int,
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Starts and ends of what is to go by some contexts' bits; ``whole``: all their windows."""
+    offsets = window - GRAM + 1
+    gone = np.unpackbits(said.reshape(len(rows), -1), axis=1)[:, :offsets].astype(bool)
+    all_gone = (gone == _live(rows, window)).all(axis=1)
+    # a context that the batch itself has under a smaller id goes whole as well
+    later = (found.ids[anchors] > least[which]) | all_gone[which]
+    yield whole[0][later], whole[1][later] + window
+    rest = np.flatnonzero(~later & gone.any(axis=1)[which])
+    at, offset = np.nonzero(gone[which[rest]])
+    starts = found.places[anchors[rest[at]]] - offset
+    yield starts, starts + window
 
 
 def _cover(
@@ -552,7 +683,12 @@ def _batches_with_ranges(docs: DataFrame, key: int, text: int, window: int):
         return blobs.groupBy("batch_id").agg(both.alias(name))
 
     hashes = batches.select("batch_id", "rows").mapInArrow(partial(_send_hashes, **where), BLOB)
-    marks = by_batch(hashes.groupBy("bucket").applyInArrow(_mark_shared, BLOB), "marks")
+    hot = HOT_PLACES
+
+    def mark(table: pa.Table) -> pa.Table:
+        return _mark_shared(table, hot)
+
+    marks = by_batch(hashes.groupBy("bucket").applyInArrow(mark, BLOB), "marks")
     marked = batches.join(marks, "batch_id").select("batch_id", "rows", "marks")
     contexts = marked.mapInArrow(partial(_send_contexts, **where), BLOB)
 

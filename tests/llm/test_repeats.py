@@ -50,9 +50,11 @@ def _passages():
 
 
 @pytest.mark.parametrize("pieces", [1 << 20, 3000])
-def test_same_as_brute_force(spark, pieces, monkeypatch):
-    # the workers take the module's own sizes; what is small here is the batch
+@pytest.mark.parametrize("hot", [repeats.HOT_PLACES, (2, 1 << 30), (2, 2), (1, 8)])
+def test_same_as_brute_force(spark, pieces, hot, monkeypatch):
+    # the workers take the module's own sizes; what is small here is what the driver sends
     monkeypatch.setattr(repeats, "BUCKET_BYTES", pieces)
+    monkeypatch.setattr(repeats, "HOT_PLACES", hot)
     texts = _passages()
     docs = spark.createDataFrame([(t, i) for i, t in texts], "text string, doc_id long")
     rows = repeats.mark_repeats(docs.repartition(5)).collect()
@@ -143,6 +145,32 @@ def test_pointers_sort_suffixes(width):
     assert len(none[0]) == 0
 
 
+def test_one_phrase_in_very_many_surroundings(spark, monkeypatch):
+    """A phrase shorter than a window at 100,000 places: what is sent for it goes to many groups."""
+    rng = random.Random(6)
+    phrase = "a phrase that these texts hold"
+    texts = [
+        f"{rng.randrange(10**12)} {rng.randrange(10**12)} {phrase} {rng.randrange(10**12)} {k}"
+        for k in range(100_000)
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    sizes = []
+    refine = repeats._batches_with_ranges
+
+    def watched(*args):
+        found, cover = refine(*args)
+        sizes.append(found)
+        return found, cover
+
+    monkeypatch.setattr(repeats, "_batches_with_ranges", watched)
+    monkeypatch.setattr(repeats, "BUCKET_BYTES", 1 << 17)
+    marked = repeats.mark_repeats(docs)
+    assert marked.where("size(repeats) > 0").isEmpty()
+    replies = sizes[0].selectExpr("explode(replies) AS r").selectExpr("r.bucket", "length(r.blob) AS n")
+    by_bucket = [r.n for r in replies.groupBy("bucket").sum("n").toDF("bucket", "n").collect()]
+    assert len(by_bucket) > 5 and max(by_bucket) < 0.5 * sum(by_bucket)
+
+
 def test_odd_rows_and_names(spark):
     passage = "A passage of more than fifty bytes, which several rows hold: é."
     rows = [(1, None, 0), (None, passage, 1), (2, passage, 2), (2, passage, 3), (3, "", 4),
