@@ -55,6 +55,7 @@ details AS (
          CAST(l_discount AS DECIMAL(19,4)) AS UnitPriceDiscount
   FROM lineitem)"""
 
+# Names of the subcategories and of the categories they belong to.
 MASTER_COLUMNS = """
          ProductID, ProductDesc, ProductNumber, MakeFlag,
          CASE WHEN Color IS NULL THEN 'N/A' ELSE Color END AS Color,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orderstrata.contracts import SALES, STORE_ORDER_DETAILS, STORE_PRODUCTS
 from orderstrata.operators import integrity
+from orderstrata.plans import migrate
 
 DETAIL = "SalesOrderID int, SalesOrderDetailID int, ProductID int"
 
@@ -108,3 +109,35 @@ def test_rows_without_a_key_stay_out_of_the_shuffle(spark, tmp_path):
         plan = check(lines, parents, "ProductID")._jdf.queryExecution().executedPlan().toString()
         assert plan.count("PushedFilters: [IsNotNull(ProductID)]") >= 1
         assert "isnotnull(ProductID" in plan
+
+
+def test_lines_of_a_product_sold_very_often_are_split(spark):
+    """A third of the lines of one product: adaptive execution splits its partition."""
+    lines = spark.range(0, 300_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("ProductID"),
+        F.concat(F.lit("line "), F.col("id").cast("string")).alias("text"),
+    )
+    known = spark.range(0, 200_000, 1, 8).withColumnRenamed("id", "ProductID")
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        plans = []
+        for kept in (
+            integrity.referenced(lines, known, "ProductID"),
+            migrate._with_known(lines, known).where("known"),
+        ):
+            kept.write.format("noop").mode("overwrite").save()
+            assert kept.agg(F.count("*")).head()[0] == 100_000 + 133_333
+            rows = kept.select("text")
+            rows.collect()
+            plans.append(rows._jdf.queryExecution().executedPlan().toString())
+    finally:
+        for name in small:
+            spark.conf.unset(name)
+    assert all("SortMergeJoin(skew=true)" in plan for plan in plans)
