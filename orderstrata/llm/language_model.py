@@ -440,11 +440,13 @@ def score(
     probabilities: frequent words, the end, and all other words together, which share
     their class's probability by count plus one, a place for unseen words included.
 
-    NULL texts count as empty. Rows that share an id, or have none, are one document:
+    NULL texts count as empty; long ones are learnt from and scored whole, each by one task.
+    Rows that share an id, or have none, are one document:
     its numbers are the sums over their texts. Other columns play no part. An empty
     table gives an empty one; without texts to learn from every count is 0.
 
-    Counts and training cover all training texts. The counts of up to 262,144 most frequent
+    Counts and training cover all training texts, which are written once more, parted by the
+    round of training they belong to. The counts of up to 262,144 most frequent
     words, but for those of over 256 bytes, go to every task; all other words, a row per
     document, meet their counts in a join, so that nothing that grows with the corpus is
     broadcast.

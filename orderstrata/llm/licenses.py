@@ -110,7 +110,8 @@ def scan(
     met is held against all of the document's shingles, word by word.
 
     NULL texts count as empty; texts shorter than a shingle match nothing; rows that
-    share an id, or have none, are one document; repeated rows add nothing. Other columns
+    share an id, or have none, are one document; repeated rows add nothing. Long texts are
+    scanned whole, a row for each shingle, in the task that read them. Other columns
     play no part. An empty table gives an empty one. Templates need ``width`` words.
     They are a literal of the query, sent to all tasks up to four megabytes.
     """
@@ -126,7 +127,10 @@ def scan(
         F.split(plain_words(F.col(text_column)), " ").alias("words"),
     )
     distinct = known.select("hash", "shingle").distinct()
-    hits = _shingles(rows, width).join(near(distinct), "hash").where(_run(width) == F.col("shingle"))
+    runs, run = _shingles(rows, width), _run(width)
+    if not small:  # both sides are shuffled: a run's text goes along, not the document's words
+        runs, run = runs.select("doc_id", "at", "hash", run.alias("run")), F.col("run")
+    hits = runs.join(near(distinct), "hash").where(run == F.col("shingle"))
     hits = stored(hits.select("doc_id", "at", "hash", "shingle"), "licenses")
 
     classes = known.select("hash", "most").distinct()

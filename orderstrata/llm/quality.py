@@ -312,7 +312,7 @@ def judge(
     posterior is the classifier's evidence, the odds of all documents taken out, on top
     of the site's share.
 
-    NULL texts count as empty; NULL hosts and paths are hosts and paths like others, NULL ids
+    NULL texts count as empty, long ones are read whole; NULL hosts and paths are hosts and paths like others, NULL ids
     are passed on; rows that repeat an id are judged each for itself. Labels of unknown
     documents and rows without any are ignored before the sample is taken; of a document
     labelled twice each row counts, once every labelled document has its first. Without labels

@@ -741,8 +741,9 @@ def mark_repeats(
 
     NULL texts count as empty, ``kept`` then is NULL; a row without an id comes after all
     others; rows that repeat an id don't count against each other. All columns are kept,
-    whatever their names, but for one named like ``into`` or ``kept``, which is an error.
-    An empty table gives an empty one. Runs one job to store the batches; the rest is
+    whatever their names, but for one named like ``into`` or ``kept``, which is an error. A text
+    longer than a batch is a batch of its own, which one task holds, at some twenty bytes for each
+    of its own. The session's catalog has to take a table's name for a moment. An empty table gives an empty one. Runs one job to store the batches; the rest is
     lazy.
     """
     for name in (into, kept):

@@ -142,8 +142,8 @@ def near_duplicates(
     ``component_id`` is the smallest id that can be reached over links. Equal
     fingerprints meet once, as one class, before any pair is looked for. A row without
     an id belongs to its component like any other, and links others, but lends it no id:
-    a component without ids has the id NULL. Rows that repeat an id are each given a row.
-    Other columns play no part. An empty table gives an empty one.
+    a component without ids has the id NULL. Rows that repeat an id are each given a row. A long
+    text is printed whole by one task. Other columns play no part. An empty table gives an empty one.
     """
     prints = stored(fingerprints(docs, id_column, text_column, shingle), "prints")
     # stored, so that the join below meets a print that very many rows share unsummed,

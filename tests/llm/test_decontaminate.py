@@ -109,3 +109,28 @@ def test_licenses(spark):
         licenses.scan(table, templates=(("a", "few words"),))
     plan = licenses.scan(table)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_many_templates_are_joined_without_the_documents_words(spark, monkeypatch):
+    rng = random.Random(1)
+    rows = [(k, " ".join([f"x{rng.randrange(60)}" for _ in range(80)] + t.split())) for k, (_, t) in enumerate(licenses.TEMPLATES)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = licenses.stored
+    plans = []
+
+    def watched(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df, name)
+
+    monkeypatch.setattr(licenses, "stored", watched)
+    few = sorted(tuple(r) for r in licenses.scan(table).collect())
+    monkeypatch.setattr(licenses, "BROADCAST_BYTES", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        many = sorted(tuple(r) for r in licenses.scan(table).collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert many == few and len(few) >= len(rows)
+    lines = plans[1].splitlines()
+    below = [lines[k + 1] for k, line in enumerate(lines) if "Exchange hashpartitioning(hash" in line]
+    assert below and not any("words#" in line.split("AS run")[0] and "AS run" not in line for line in below)
