@@ -22,7 +22,7 @@ LISTED_WORDS = 1 << 18
 LISTED_BYTES = 256
 # Distinct words that a task counts before it sends them on.
 COUNTED_AT_ONCE = 1 << 19
-PARTS_OF_MEANS = 64
+PARTS_OF_MEANS = 16
 # Rounds of training, each on so many times the texts of the one before, all of them once.
 ROUNDS = 12
 GROWTH = 1.4
@@ -339,7 +339,7 @@ def train(
     down to one task's share, whichever makes the texts of a small sample likeliest, or not at
     all. So a model that many tasks make comes near that of one that reads everything.
 
-    Sums are taken in 64 tasks first; the driver adds up 64 of them at most.
+    Sums are taken in 16 tasks first; the driver adds up 16 of them at most.
     """
     counts = words.class_counts()
     class_of = dict(zip(words.words, words.classes().tolist(), strict=True))
