@@ -31,6 +31,18 @@ def _only_scans(docs: DataFrame) -> bool:
     return {re.search(r"[A-Za-z]+", line)[0] for line in plan.splitlines()} <= ROW_BY_ROW
 
 
+def _read_once(placed: DataFrame, file: str, place: str) -> bool:
+    """Whether no file is listed twice, and the names of all files may be sent to every task.
+
+    Rows of a file listed twice have each place twice, far beyond the error of an approximate
+    count of the places.
+    """
+    counts = placed.groupBy(file).agg(
+        F.count("*").alias("n_rows"), F.approx_count_distinct(place).alias("n_places")
+    )
+    return counts.where("n_rows > 1.5 * n_places").isEmpty() and small_enough(counts.select(file))
+
+
 def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` with a number of its own for each row, the same in every scan, and its name.
 
@@ -48,8 +60,8 @@ def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
             )
         except AnalysisException:  # files without such places
             placed = None
-        files = placed.select(file).distinct() if placed else None
-        if placed and small_enough(files):
+        if placed and _read_once(placed, file, place):
+            files = placed.select(file).distinct()
             nth = F.row_number().over(Window.orderBy(named)).cast("long")
             numbers = files.toDF(named).withColumn(at, nth)
             met = placed.join(F.broadcast(numbers), F.col(file) == F.col(named))
