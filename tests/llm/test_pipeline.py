@@ -155,7 +155,9 @@ def test_rows_that_come_from_one_place_get_numbers_too(spark, docs):
     from pyspark.sql import functions as F
 
     twice = docs.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
-    for given in (twice, docs.unionAll(docs), docs.limit(10), docs.sample(0.5, 1)):
+    path = f"{SF_DIR}/documents.parquet"
+    listed_twice = spark.read.parquet(path, path).where("doc_id < 30")
+    for given in (twice, docs.unionAll(docs), docs.limit(10), docs.sample(0.5, 1), listed_twice):
         numbered, row = corpus_pipeline._numbered(given)
         assert numbered.select(row).distinct().count() == numbered.count() > 0
 
