@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -252,23 +252,32 @@ RAW_FILES = {
 }
 
 
+# Rows of a CSV file at most, as one task reads a file that is packed.
+ROWS_A_FILE = 1_000_000
 _inputs: dict[tuple[str, str], str] = {}
+_written: set[str] = set()
 
 
-def input_files(spark: SparkSession, sf_dir: str) -> str:
-    """A shared folder with the raw sample tables as CSV, made once per session and size."""
+def input_files(spark: SparkSession, sf_dir: str, names: Iterable[str] = tuple(RAW_FILES)) -> str:
+    """A shared folder with raw sample tables as CSV, each made once per session and size."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _inputs:
-        folder = f"{shared_folder(spark)}/input-{uuid.uuid4().hex}"
-        for name, rows in RAW_FILES.items():
-            _write_csv(rows(spark, sf_dir), f"{folder}/{name}")
-        _inputs[key] = folder
-    return _inputs[key]
+    folder = _inputs.setdefault(key, f"{shared_folder(spark)}/input-{uuid.uuid4().hex}")
+    for name in names:
+        path = f"{folder}/{name}"
+        if path not in _written:
+            _write_csv(RAW_FILES[name](spark, sf_dir), path)
+            _written.add(path)
+    return folder
 
 
 def _write_csv(rows: DataFrame, path: str) -> None:
     blanks_kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    rows.write.mode("append").csv(path, header=True, **blanks_kept)
+    packed = {
+        "compression": "gzip",
+        "zlib.compress.level": "BEST_SPEED",
+        "maxRecordsPerFile": ROWS_A_FILE,
+    }
+    rows.write.mode("append").options(**packed).csv(path, header=True, **blanks_kept)
 
 
 def _new_tables(spark: SparkSession) -> ParquetTables:
@@ -277,19 +286,19 @@ def _new_tables(spark: SparkSession) -> ParquetTables:
 
 def bronze_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _new_tables(spark)
-    ingest.load_products(tables, input_files(spark, sf_dir))
+    ingest.load_products(tables, input_files(spark, sf_dir, [ingest.PRODUCTS_FILE]))
     return tables.read_raw(ingest.RAW_PRODUCTS)
 
 
 def bronze_order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _new_tables(spark)
-    ingest.load_order_headers(tables, input_files(spark, sf_dir))
+    ingest.load_order_headers(tables, input_files(spark, sf_dir, [ingest.ORDER_HEADERS_FILE]))
     return tables.read_raw(ingest.RAW_ORDER_HEADERS)
 
 
 def bronze_order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _new_tables(spark)
-    ingest.load_order_details(tables, input_files(spark, sf_dir))
+    ingest.load_order_details(tables, input_files(spark, sf_dir, [ingest.ORDER_DETAILS_FILE]))
     return tables.read_raw(ingest.RAW_ORDER_DETAILS)
 
 
