@@ -54,26 +54,36 @@ def outside_domain(df: DataFrame, contract: Contract) -> DataFrame:
     return df.where(reduce(Column.__or__, bad))
 
 
+def _faults(contract: Contract, name: str, value: Column, typed: Column) -> list[tuple]:
+    """What can be wrong with a value, given as ``value`` and ``typed``, and how it is told."""
+    told = F.concat(F.lit(f"{name} does not take "), value.cast("string"))
+    faults = [(value.isNotNull() & typed.isNull(), told)]
+    if name in contract.required:
+        faults.append((value.isNull(), F.lit(f"{name} is empty")))
+    if name in contract.domains:
+        inside = typed.isin(*contract.domains[name])
+        faults.append((~inside, F.concat(F.lit(f"{name} does not allow "), typed)))
+    return faults
+
+
+def _told(faults: dict[str, list[tuple]]) -> Column:
+    """The first fault of each column that has one."""
+    firsts = [F.coalesce(*[F.when(bad, why) for bad, why in found]) for found in faults.values()]
+    return F.array_compact(F.array(*firsts))
+
+
 def reasons(df: DataFrame, contract: Contract) -> Column:
     """Why the contract does not take a row, an array of texts in its columns' order.
 
     Of each column one reason at most: a value that does not fit its type, then an empty
     one that must be filled, then one outside its domain. Texts are looked at trimmed.
     """
-
-    def reason(name: str) -> Column:
-        value = F.col(name)
-        typed = fitted(df, contract.schema[name])
-        told = F.concat(F.lit(f"{name} does not take "), value.cast("string"))
-        why = F.when(value.isNotNull() & typed.isNull(), told)
-        if name in contract.required:
-            why = why.when(value.isNull(), F.lit(f"{name} is empty"))
-        if name in contract.domains:
-            inside = typed.isin(*contract.domains[name])
-            why = why.when(~inside, F.concat(F.lit(f"{name} does not allow "), typed))
-        return why
-
-    return F.array_compact(F.array(*[reason(name) for name in contract.columns]))
+    return _told(
+        {
+            name: _faults(contract, name, F.col(name), fitted(df, contract.schema[name]))
+            for name in contract.columns
+        }
+    )
 
 
 def misfits(df: DataFrame, contract: Contract) -> DataFrame:
@@ -93,10 +103,22 @@ def sort_out(df: DataFrame, contract: Contract) -> DataFrame:
     row, so that good and bad ones can be told apart in one scan.
     """
     typed = [fitted(df, field).alias(field.name) for field in contract.schema.fields]
-    looked_at = df.select(
-        *typed, reasons(df, contract).alias("reasons"), F.struct(*df.columns).alias("given")
+    places = {name: f"_given_{at}" for at, name in enumerate(df.columns)}
+    raw = [F.col(name).alias(place) for name, place in places.items()]
+    looked_at = [F.col(name).alias(f"_raw_{name}") for name in contract.columns]
+    # values are cast once, and reasons made up only for rows that have one
+    both = df.select(*typed, *looked_at, *raw)
+    faults = {
+        name: _faults(contract, name, F.col(f"_raw_{name}"), F.col(name))
+        for name in contract.columns
+    }
+    conditions = [F.coalesce(bad, F.lit(False)) for found in faults.values() for bad, _ in found]
+    bad = reduce(Column.__or__, conditions)
+    given = F.struct(*[F.col(place).alias(name) for name, place in places.items()])
+    why = F.when(bad, _told(faults)).otherwise(F.array().cast("array<string>"))
+    return both.select(
+        *contract.columns, why.alias("reasons"), F.when(bad, given).alias("given")
     )
-    return looked_at.withColumn("given", F.when(F.size("reasons") > 0, F.col("given")))
 
 
 def conform(df: DataFrame, contract: Contract, among: Column | None = None) -> DataFrame:
