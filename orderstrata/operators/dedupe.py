@@ -72,6 +72,59 @@ def marked(
     return light.select(*df.columns, "kept").unionAll(gathered.select(*df.columns, "kept"))
 
 
+def torn_keys(df: DataFrame, key: str, column: str) -> DataFrame:
+    """Keys whose rows have more than one value of ``column``, with the least of them.
+
+    NULL is one value, less than all others. One shuffle of a narrow row for each key and task.
+    """
+    found = df.groupBy(key).agg(
+        F.min(column).alias("_least"),
+        F.max(column).alias("_most"),
+        F.max(F.col(column).isNull()).alias("_missing"),
+    )
+    return found.where("_least < _most OR (_missing AND _most IS NOT NULL)")
+
+
+def marked_in_place(
+    df: DataFrame,
+    key: str,
+    column: str,
+    parts: int,
+    columns: Sequence[str] = (),
+    among: Column | None = None,
+    torn: bool = True,
+) -> DataFrame:
+    """:func:`marked`, with the rows put into ``parts`` tasks by ``column``, where they stay.
+
+    ``column`` is the key, or the first of those that decide which row of a key comes first.
+    Then a key's rows under one value of it lie in one task, and of several values the least
+    has the row that is kept. One shuffle of the rows serves the numbering and what comes
+    after it; besides, the keys of several values (:func:`torn_keys`) are looked for, unless
+    ``torn`` is False as there are none, and take a short row for each value but the least.
+    """
+    order = _in_order(df.select(*columns) if columns else df, key)
+    deciding = [name for name in columns or df.columns if name != key]
+    if column != key and column != deciding[0]:
+        raise ValueError(f"{column} is not the first column that decides among rows of a {key}")
+    takes_part = F.lit(True) if among is None else F.coalesce(among, F.lit(False))
+    rows = df.withColumns({"_takes_part": takes_part, "_loses": F.lit(False)})
+    if torn and column != key:
+        pairs = rows.where("_takes_part").select(key, column)
+        least = torn_keys(pairs, key, column).select(F.col(key).alias("_key"), "_least", "_missing")
+        met = pairs.join(least, F.col(key).eqNullSafe(F.col("_key")))
+        later = (F.col(column) > F.col("_least")) | (F.col("_missing") & F.col(column).isNotNull())
+        losing = met.where(later).select(key, column).distinct()
+        told = losing.withColumns({"_takes_part": F.lit(True), "_loses": F.lit(True)})
+        # a row that loses its group: it comes first there, so that no other one does
+        rows = rows.unionByName(told, allowMissingColumns=True)
+    group = Window.partitionBy(*dict.fromkeys([column, key, "_takes_part"]))
+    placed = rows.repartition(parts, column).withColumn(
+        "_place", F.row_number().over(group.orderBy(F.desc("_loses"), *order))
+    )
+    kept = F.col("_takes_part") & (F.col("_place") == 1)
+    return placed.where("NOT _loses").select(*df.columns, kept.alias("kept"))
+
+
 def surplus_rows(df: DataFrame, key: str) -> DataFrame:
     """Every row that :func:`keep_one` leaves out, equal rows once each.
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from orderstrata.contracts import SALES, Contract, Layers
 from orderstrata.operators.clean import clean
-from orderstrata.operators.dedupe import marked
+from orderstrata.operators.dedupe import marked, marked_in_place, torn_keys
 from orderstrata.operators.integrity import sort_out
 from orderstrata.plans.ingest import (
     RAW_ORDER_DETAILS,
@@ -37,6 +37,28 @@ def _with_known(rows: DataFrame, known: DataFrame) -> DataFrame:
     return met.select(*rows.columns, F.coalesce("known", F.lit(False)).alias("known"))
 
 
+def _told(
+    rows: DataFrame, contract: Contract, heavy: dict[str, list], layout: Layout | None
+) -> tuple[DataFrame, bool]:
+    """Rows with ``kept``, and whether they lie as the layout says.
+
+    Where the layout lets rows of a key be told apart in its buckets, they are shuffled once,
+    for both; else by their key, and once more when they are written.
+    """
+    key, among = contract.key, F.col("fits") & F.col("known")
+    first = next(name for name in contract.columns if name != key)
+    if layout is None or layout.column not in (key, first) or heavy[layout.column]:
+        return marked(rows, key, heavy[key], contract.columns, among), False
+    torn = False
+    if layout.column != key:
+        # looked for among all rows, which reads two columns; rows without a key can't be kept
+        keyed = rows.dropna(subset=[key]) if key in contract.required else rows
+        torn = not torn_keys(keyed, key, layout.column).isEmpty()
+    spread = layout.spread(rows, ~F.col("fits"))
+    column, buckets = layout.column, layout.buckets
+    return marked_in_place(spread, key, column, buckets, contract.columns, among, torn), True
+
+
 def _migrate(
     tables: Tables,
     raw_table: str,
@@ -57,12 +79,11 @@ def _migrate(
         if layout and layout.column != contract.key and heavy[layout.column]:
             layout = None
         rows = _with_known(rows, known()) if known else rows.withColumn("known", F.lit(True))
-        fits, found = F.col("fits"), F.col("known")
-        told = marked(rows, contract.key, heavy[contract.key], contract.columns, fits & found)
-        part = F.when(~fits, MALFORMED).when(~found, REJECTED)
+        told, placed = _told(rows, contract, heavy, layout)
+        part = F.when(~F.col("fits"), MALFORMED).when(~F.col("known"), REJECTED)
         part = part.when(F.col("kept"), KEPT).otherwise(DUPLICATE)
         told = told.withColumn(PART, part).drop("fits", "known", "kept")
-        written = tables.write_parts(contract, told, layout)
+        written = tables.write_parts(contract, told, layout, placed)
         frames = {part: frame.select(contract.columns) for part, frame in written.frames.items()}
         held = written.frames[MALFORMED].select("given.*", "reasons") if hold else None
         return Migrated(

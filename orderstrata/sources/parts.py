@@ -25,6 +25,16 @@ class Layout:
     column: str
     buckets: int
 
+    def spread(self, df: DataFrame, lost: Column) -> DataFrame:
+        """``df``, with any value for the column where ``lost`` rows have none.
+
+        Malformed rows may have no bucket to be in; they would all go to that of NULL.
+        """
+        kind = df.schema[self.column].dataType
+        anywhere = F.pmod(F.xxhash64(*df.columns), F.lit(2**31 - 1)).cast(kind)
+        empty = lost & F.col(self.column).isNull()
+        return df.withColumn(self.column, F.when(empty, anywhere).otherwise(F.col(self.column)))
+
 
 @dataclass(frozen=True)
 class Parts:
